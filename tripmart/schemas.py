@@ -28,7 +28,7 @@ REVENUE = T.DecimalType(28, 2)
 HUNDREDTHS = T.DecimalType(20, 2)
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Table:
     """One stored table. ``key`` is checked for duplicates before the table is published.
 

@@ -49,7 +49,8 @@ def bronze_zones(source: DataFrame, loaded_at: datetime) -> DataFrame:
 
 
 def _with_file_name(frame: DataFrame) -> DataFrame:
-    return frame.withColumn("source_file", F.col("_metadata.file_name"))
+    read = [frame[name] for name in frame.columns if name.lower() != "source_file"]
+    return frame.select(*read, F.col("_metadata.file_name").alias("source_file"))
 
 
 def _lower_names(frame: DataFrame) -> DataFrame:
@@ -73,7 +74,7 @@ def _typed(frame: DataFrame, name: str, kind: T.DataType) -> Column:
     if isinstance(frame.schema[name].dataType, (T.FloatType, T.DoubleType)):
         # Not-a-number means missing. Decimals cannot hold it, and as a double it would pass
         # ">= 0" and spoil every sum.
-        value = F.when(~F.isnan(value), value)
+        value = F.nanvl(value, F.lit(None))
         if isinstance(kind, T.IntegerType):
             value = F.round(value, 0)
     return value.cast(kind)

@@ -14,23 +14,19 @@ from pyspark.sql import functions as F
 
 
 def sample_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").withColumn(
-        "source_file", F.col("_metadata.file_name")
-    )
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     region = spark.read.parquet(f"{sf_dir}/region.parquet")
     return nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
         F.col("n_nationkey").alias("LocationID"),
         F.col("r_name").alias("Borough"),
         F.col("n_name").alias("Zone"),
         F.lit(None).cast("string").alias("service_zone"),
-        "source_file",
+        F.lit("nation.parquet").alias("source_file"),
     )
 
 
 def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn(
-        "source_file", F.col("_metadata.file_name")
-    )
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
     number = F.col("event_id")
     fare = F.col("value").cast("decimal(18,2)") - F.lit(2)
     tip = (number % 5).cast("decimal(18,2)")
@@ -57,14 +53,12 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         *_flat_charges(),
         tip.cast("double").alias("tip_amount"),
         (fare + tip).cast("double").alias("total_amount"),
-        "source_file",
+        F.lit("events.parquet").alias("source_file"),
     )
 
 
 def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn(
-        "source_file", F.col("_metadata.file_name")
-    )
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
     suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
@@ -89,7 +83,7 @@ def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
             *_flat_charges(),
             (F.col("l_extendedprice") * F.col("l_tax")).cast("decimal(18,2)").cast("double").alias("tip_amount"),
             (price - F.lit(950)).cast("double").alias("total_amount"),
-            "source_file",
+            F.lit("lineitem.parquet").alias("source_file"),
         )
     )
 
