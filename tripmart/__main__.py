@@ -19,6 +19,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--reports", help="directory for report files (default: <warehouse>/reports)")
     parser.add_argument("--bronze-only", action="store_true", help="load the raw tables and stop")
     parser.add_argument("--partition-by-date", action="store_true", help="lay out cleaned trips by pickup date")
+    parser.add_argument("--drop-old-runs", action="store_true", help="afterwards delete tables of earlier runs")
     options = parser.parse_args(arguments)
 
     spark = build_session()
@@ -31,6 +32,9 @@ def main(arguments: list[str] | None = None) -> int:
     else:
         refresh.run(trips, zones, options.reports or f"{warehouse.root}/reports")
 
+    if options.drop_old_runs:
+        warehouse.drop_old_runs()
+
     for table, rows in refresh.result.row_counts.items():
         print(f"{table}: {rows} rows")
     for report in refresh.result.reports:

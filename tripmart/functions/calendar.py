@@ -13,14 +13,16 @@ from tripmart.schemas import MINUTES
 DAY_PARTS = {"Morning": (5, 11), "Afternoon": (12, 16), "Evening": (17, 20)}
 OTHER_DAY_PART = "Night"
 
-# Weekday names are blank-padded to the width of the longest, "Wednesday".
+# Weekday names from Sunday, blank-padded to the width of the longest.
+DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 DAY_NAME_WIDTH = 9
 
-MICROS_PER_MINUTE = Decimal(60_000_000)
+MICROS_PER_HUNDREDTH_MINUTE = 600_000
 
 
 def day_name(moment: Column) -> Column:
-    return F.rpad(F.date_format(F.to_date(moment), "EEEE"), DAY_NAME_WIDTH, " ")
+    names = F.array(*[F.lit(name.ljust(DAY_NAME_WIDTH)) for name in DAY_NAMES])
+    return F.element_at(names, F.dayofweek(moment))
 
 
 def is_weekend(moment: Column) -> Column:
@@ -36,6 +38,8 @@ def time_period(moment: Column) -> Column:
 
 
 def minutes_between(start: Column, end: Column) -> Column:
-    """Elapsed minutes to two places. Halves fall on whole microseconds, so one rounding is exact."""
+    """Elapsed minutes to two places, half away from zero, in whole-number arithmetic."""
     micros = F.timestamp_diff("MICROSECOND", start, end)
-    return F.round(micros / F.lit(MICROS_PER_MINUTE), 2).cast(MINUTES)
+    half_up = F.abs(micros) + F.lit(MICROS_PER_HUNDREDTH_MINUTE // 2)
+    hundredths = F.call_function("div", half_up, F.lit(MICROS_PER_HUNDREDTH_MINUTE)) * F.signum(micros).cast("long")
+    return (hundredths.cast("decimal(14,0)") * F.lit(Decimal("0.01"))).cast(MINUTES)

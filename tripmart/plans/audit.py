@@ -8,7 +8,6 @@ from contextlib import contextmanager
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.functions.frames import literal_rows
@@ -19,6 +18,13 @@ RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
 
 EVENT_SCHEMA = T.StructType([*LOAD_AUDIT.schema.fields, T.StructField("event_at", T.LongType())])
 
+# The latest event of every load, as a row of the audit table.
+CURRENT_STATE = f"""
+SELECT state.*
+FROM (SELECT max_by(struct({", ".join(LOAD_AUDIT.column_names)}), event_at) AS state
+      FROM {{events}} GROUP BY audit_id)
+"""
+
 
 def utc_now() -> datetime:
     return datetime.now(UTC).replace(tzinfo=None)
@@ -60,9 +66,11 @@ class LoadAudit:
 
     def current(self) -> DataFrame:
         """One row per load with its latest state."""
-        latest = F.max_by(F.struct(*LOAD_AUDIT.column_names), "event_at").alias("state")
-        events = self.spark.read.schema(EVENT_SCHEMA).parquet(self.path)
-        return events.groupBy("audit_id").agg(latest).select("state.*")
+        return self.spark.sql(CURRENT_STATE, events=self.spark.read.schema(EVENT_SCHEMA).parquet(self.path))
+
+    def ensure(self) -> None:
+        """Creates the empty log if there is none."""
+        self.spark.createDataFrame([], EVENT_SCHEMA).write.mode("ignore").parquet(self.path)
 
     def _append(self, events: list[tuple]) -> None:
         literal_rows(self.spark, events, EVENT_SCHEMA).write.mode("append").parquet(self.path)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import time
-import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -18,7 +17,7 @@ from tripmart.plans import gold, silver
 from tripmart.plans.audit import LoadAudit, utc_now
 from tripmart.plans.mart import DerivedMart, StoredMart
 from tripmart.plans.questions import REPORTS
-from tripmart.plans.warehouse import Warehouse
+from tripmart.plans.warehouse import Warehouse, new_run_id
 from tripmart.schemas import (
     DAILY, HOURLY, ISSUES, PAYMENTS, RAW_TRIPS, RAW_ZONES, ROUTES, TRIPS, TRIPS_BY_ROUTE, TRIPS_BY_TIME,
     ZONE_PERFORMANCE, ZONES, Table,
@@ -55,7 +54,7 @@ class Refresh:
         self.partition_trips_by_date = partition_trips_by_date
         self.audit = LoadAudit(spark, warehouse.audit_path)
         self.run_at = utc_now()
-        self.run_id = f"{self.run_at:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+        self.run_id = new_run_id(self.run_at)
         self.result = RefreshResult()
 
     def run(self, trip_source: DataFrame, zone_source: DataFrame, report_directory: str) -> RefreshResult:

@@ -9,16 +9,21 @@ none, on any file system Spark writes to. Readers of the run before are not dist
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
+from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.functions.frames import literal_rows
 from tripmart.operators.integrity import IntegrityError, row_metrics
+from tripmart.plans.audit import CURRENT_STATE, LoadAudit
 from tripmart.plans.views import CATALOG_VIEWS
-from tripmart.schemas import TABLES, Table
+from tripmart.schemas import LOAD_AUDIT, TABLES, Table
 
 PUBLISHED_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
@@ -26,6 +31,12 @@ PUBLISHED_SCHEMA = T.StructType([
     T.StructField("published_at", T.LongType()),
 ])
 EMPTY_RUN = "empty"
+RUN_NAME = re.compile(r"\d{8}T\d{12}-[0-9a-f]{8}")
+
+
+def new_run_id(at: datetime) -> str:
+    """Sorts by start time; the suffix keeps runs apart that start together."""
+    return f"{at:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
 
 class Warehouse:
@@ -78,44 +89,65 @@ class Warehouse:
 
     def current_runs(self) -> dict[str, str]:
         """Run of each published table: as many rows as there are declared tables."""
-        if not self._log_exists():
-            return {}
-        log = self.spark.read.schema(PUBLISHED_SCHEMA).parquet(self._log_path)
+        try:
+            log = self.spark.read.schema(PUBLISHED_SCHEMA).parquet(self._log_path)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return {}
+            raise
         latest = log.groupBy("table_name").agg(F.max_by("run_id", "published_at").alias("run_id"))
         return {row["table_name"]: row["run_id"] for row in latest.collect()}
 
     def ensure_tables(self) -> None:
         """Publishes an empty table for every declared one that is not there yet."""
-        missing = [table for name, table in TABLES.items() if name not in self.current_runs()]
+        current = self.current_runs()
+        missing = [table for name, table in TABLES.items() if name not in current]
         for table in missing:
             empty = self.spark.createDataFrame([], table.schema)
             empty.write.mode("ignore").parquet(self.path(table.name, EMPTY_RUN))
         if missing:
             self.publish(EMPTY_RUN, [table.name for table in missing], at=0)
+        LoadAudit(self.spark, self.audit_path).ensure()
 
     def register(self) -> None:
         """Makes the current tables, the views and the audit state known to SQL by name."""
-        current = self.current_runs()
-        for layer in ("bronze", "silver", "gold", "rollup", "audit"):
+        self.ensure_tables()
+        for layer in sorted({table.layer for table in (*TABLES.values(), LOAD_AUDIT)}):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
-        for name, run_id in current.items():
+        for name, run_id in self.current_runs().items():
+            columns = TABLES[name].schema
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            self.spark.catalog.createTable(
-                name, path=self.path(name, run_id), source="parquet", schema=TABLES[name].schema
-            )
+            self.spark.catalog.createTable(name, path=self.path(name, run_id), source="parquet", schema=columns)
         for name, (text, tables) in CATALOG_VIEWS.items():
-            if set(tables.values()) <= set(current):
-                self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {text.format(**tables)}")
+            self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {text.format(**tables)}")
+        events = CURRENT_STATE.format(events=f"parquet.`{self.audit_path}`")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {LOAD_AUDIT.name} AS {events}")
+
+    def drop_old_runs(self) -> list[str]:
+        """Deletes runs older than every current run of their layer; returns what was deleted.
+
+        A refresh under way is newer than what is published, so it is never touched.
+        """
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        configuration = self.spark.sparkContext._jsc.hadoopConfiguration()
+        oldest: dict[str, str] = {}
+        for table, run_id in self.current_runs().items():
+            layer = TABLES[table].layer
+            oldest[layer] = min(run_id, oldest.get(layer, run_id))
+        deleted = []
+        for layer, first_kept in oldest.items():
+            directory = hadoop.Path(f"{self.root}/{layer}")
+            files = directory.getFileSystem(configuration)
+            for entry in files.listStatus(directory):
+                if RUN_NAME.fullmatch(entry.getPath().getName()) and entry.getPath().getName() < first_kept:
+                    files.delete(entry.getPath(), True)
+                    deleted.append(f"{layer}/{entry.getPath().getName()}")
+        return deleted
 
     @property
     def _log_path(self) -> str:
         return f"{self.root}/_published"
 
-    def _log_exists(self) -> bool:
-        log = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._log_path)
-        files = log.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return files.exists(log)
-
     def _expect_schema(self, table: Table, frame: DataFrame) -> None:
         actual = [(field.name, field.dataType) for field in frame.schema]
         if actual != list(table.columns):
