@@ -15,7 +15,9 @@ def spark(tmp_path_factory):
         master="local[8]",
         **{
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "8",
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("catalog")),
         },
     )

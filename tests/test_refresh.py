@@ -1,0 +1,187 @@
+from glob import glob
+
+import pytest
+from pyspark.sql import functions as F
+from samples import RUN_AT, ZONES, source_trips, write_sources
+
+from tripmart import __main__ as command
+from tripmart.operators.integrity import IntegrityError
+from tripmart.plans import refresh as refresh_module
+from tripmart.plans.audit import LoadAudit
+from tripmart.plans.mart import StoredMart
+from tripmart.plans.questions import REPORTS, Report
+from tripmart.plans.refresh import Refresh
+from tripmart.plans.silver import clean_trips
+from tripmart.plans.warehouse import Warehouse
+from tripmart.schemas import TABLES
+from tripmart.sources import read_trip_files, read_zone_files
+from tripmart.sources.sample_tables import event_trips
+
+GOOD = [{}, {"payment_type": 0}, {"fare_amount": -1.0}, {"PULocationID": 2, "DOLocationID": 3}]
+
+
+def refresh_of(spark, root, trips, zones=None, **options):
+    paths = write_sources(spark, f"{root}/source", trips, zones)
+    return Refresh(spark, Warehouse(spark, f"{root}/wh"), run_at=RUN_AT, **options), (
+        read_trip_files(spark, paths[0]), read_zone_files(spark, paths[1]),
+    )
+
+
+def audit_of(spark, root):
+    rows = LoadAudit(spark, Warehouse(spark, f"{root}/wh").audit_path).current().collect()
+    return {row["table_name"]: (row["status"], row["row_count"], row["error_message"]) for row in rows}
+
+
+def test_full_refresh_stores_reports_and_audits_everything(spark, tmp_path):
+    refresh, sources = refresh_of(spark, tmp_path, source_trips(spark, *GOOD))
+    result = refresh.run(*sources, f"{tmp_path}/reports")
+    assert set(result.row_counts) == set(TABLES)
+    assert result.row_counts["bronze.raw_taxi_trips"] == 4 and result.row_counts["silver.taxi_trips_cleaned"] == 3
+    assert result.row_counts["silver.data_quality_issues"] == 2 and result.rejected_trips == 1
+    assert [report.error for report in result.reports] == [None] * len(REPORTS)
+    assert audit_of(spark, tmp_path) == {table: ("SUCCESS", rows, None) for table, rows in result.row_counts.items()}
+    for report in REPORTS:
+        assert glob(f"{tmp_path}/reports/{report.label}.csv/part-*") and glob(f"{tmp_path}/reports/{report.label}.md/part-*")
+    stored = refresh.warehouse.snapshot()
+    for name, table in TABLES.items():
+        frame = stored(name)
+        assert frame.schema == table.schema and frame.count() == result.row_counts[name]
+
+
+def test_tables_and_views_answer_sql_by_name(spark, tmp_path):
+    refresh, sources = refresh_of(spark, tmp_path, source_trips(spark, *GOOD))
+    refresh.run(*sources, f"{tmp_path}/reports")
+    refresh.warehouse.register()
+    top = spark.sql("SELECT zone, total_revenue FROM gold.zone_performance_summary ORDER BY total_revenue DESC LIMIT 1")
+    assert str(top.first()["total_revenue"]) == "27.00"
+    boroughs = spark.sql("SELECT pickup_borough, count(*) n FROM gold.vw_trip_enriched GROUP BY pickup_borough")
+    assert [tuple(row) for row in boroughs.collect()] == [("North", 3)]
+    assert spark.sql("SELECT * FROM gold.vw_daily_trip_summary").count() == 1
+    assert spark.sql("SELECT * FROM gold.vw_zone_performance WHERE revenue_rank = 1").count() == 1
+    assert spark.sql("SELECT * FROM audit.load_audit WHERE status = 'SUCCESS'").count() == len(TABLES)
+    assert spark.sql("SELECT error_type FROM silver.data_quality_issues").count() == 2
+
+
+def test_empty_tables_exist_before_the_first_load(spark, tmp_path):
+    warehouse = Warehouse(spark, f"{tmp_path}/wh")
+    with pytest.raises(LookupError):
+        warehouse.snapshot()("silver.taxi_zones")
+    warehouse.ensure_tables()
+    warehouse.ensure_tables()
+    warehouse.register()
+    assert spark.sql("SELECT count(*) FROM gold.vw_trip_enriched").first()[0] == 0
+    assert spark.sql("SELECT count(*) FROM audit.load_audit").first()[0] == 0
+
+
+@pytest.mark.parametrize(
+    ("trips", "zones", "message"),
+    [
+        ([{"tip_amount": -1.0}], None, "tip_amount is negative"),
+        ([{"tip_amount": None}], None, "tip_amount is missing"),
+        ([{}], [*ZONES, (3, "South", "Park again", None)], "more than once"),
+        ([{}], [*ZONES, (4, None, "Nameless", None)], "borough is missing"),
+    ],
+)
+def test_a_broken_rule_keeps_the_last_silver(spark, tmp_path, trips, zones, message):
+    first, sources = refresh_of(spark, tmp_path / "one", source_trips(spark, *GOOD))
+    first.run(*sources, f"{tmp_path}/reports")
+    paths = write_sources(spark, f"{tmp_path}/two", source_trips(spark, *trips), zones)
+    second = Refresh(spark, first.warehouse, run_at=RUN_AT)
+    second.bronze(read_trip_files(spark, paths[0]), read_zone_files(spark, paths[1]))
+    with pytest.raises(IntegrityError, match=message):
+        second.silver()
+    mart = StoredMart(first.warehouse.snapshot())
+    assert mart.raw_trips.count() == len(trips)
+    assert mart.trips.count() == 3 and mart.issues.count() == 2 and mart.zones.count() == 3
+    failed = audit_of(spark, tmp_path / "one")["silver.taxi_trips_cleaned"]
+    states = LoadAudit(spark, first.warehouse.audit_path).current().groupBy("layer", "status").count().collect()
+    assert ("silver", "FAILED", 3) in [tuple(row) for row in states]
+    assert failed is not None
+
+
+def test_a_failed_bronze_load_is_recorded_and_raised(spark, tmp_path):
+    refresh, (trips, zones) = refresh_of(spark, tmp_path, source_trips(spark, {}))
+    with pytest.raises(Exception, match="total_amount"):
+        refresh.bronze(trips.drop("total_amount"), zones)
+    states = audit_of(spark, tmp_path)
+    assert states["bronze.raw_taxi_zones"][:2] == ("SUCCESS", 3)
+    assert states["bronze.raw_taxi_trips"][0] == "FAILED" and "total_amount" in states["bronze.raw_taxi_trips"][2]
+    with pytest.raises(LookupError):
+        refresh.warehouse.snapshot()("bronze.raw_taxi_trips")
+
+
+def test_a_failing_question_does_not_stop_the_others(spark, tmp_path, monkeypatch):
+    def fails(mart):
+        return mart.trips.select("no_such_column")
+
+    refresh, sources = refresh_of(spark, tmp_path, source_trips(spark, *GOOD))
+    monkeypatch.setattr(refresh_module, "REPORTS", (Report("broken", fails), *REPORTS[:2]))
+    result = refresh.run(*sources, f"{tmp_path}/reports")
+    assert [report.label for report in result.failed_reports] == ["broken"]
+    assert "no_such_column" in result.failed_reports[0].error
+    assert [report.rows for report in result.reports[1:]] == [1, 1]
+
+
+def test_date_layout_gives_the_same_trips(spark, tmp_path):
+    trips = event_trips(spark, "/root/testdata/sf0.001").drop("source_file")
+    zones = [(n, f"B{n % 5}", f"Z{n}", None) for n in range(25)]
+    plain, sources = refresh_of(spark, tmp_path / "plain", trips, zones)
+    dated, dated_sources = refresh_of(spark, tmp_path / "dated", trips, zones, partition_trips_by_date=True)
+    results = []
+    for refresh, given in ((plain, sources), (dated, dated_sources)):
+        refresh.bronze(*given)
+        refresh.silver()
+        stored = refresh.warehouse.snapshot()("silver.taxi_trips_cleaned").drop("trip_id", "created_at")
+        results.append(sorted(tuple(row) for row in stored.collect()))
+    assert results[0] == results[1] and len(results[0]) == 878
+    assert dated.result.row_counts["silver.taxi_trips_cleaned"] == 878
+    folders = glob(f"{tmp_path}/dated/wh/silver/*/taxi_trips_cleaned/pickup_date=*")
+    assert len(folders) == 30
+    dated.warehouse.register()
+    assert spark.sql("SELECT count(*) FROM silver.taxi_trips_cleaned").first()[0] == 878
+
+
+def test_invariants_on_sample_trips(spark, tmp_path):
+    zones = [(n, f"B{n % 5}", f"Z{n}", None) for n in range(25)]
+    refresh, sources = refresh_of(spark, tmp_path, event_trips(spark, "/root/testdata/sf0.01").drop("source_file"), zones)
+    counts = refresh.run(*sources, f"{tmp_path}/reports").row_counts
+    mart = StoredMart(refresh.warehouse.snapshot())
+    assert (counts["bronze.raw_taxi_trips"], counts["silver.taxi_trips_cleaned"]) == (10_000, 8_782)
+    assert counts["silver.data_quality_issues"] == 3_211 and refresh.result.rejected_trips == 1_218
+    assert mart.trips.select("trip_id").distinct().count() == 8_782
+    sums = mart.zone_performance.agg(F.sum("total_pickup_trips"), F.sum("total_dropoff_trips"), F.sum("total_revenue")).first()
+    assert tuple(sums)[:2] == (8_782, 8_782) and str(sums[2]) == "462385.90"
+    last = mart.daily_trends.orderBy(F.desc("pickup_date")).first()
+    assert last["running_total_revenue"] == sums[2]
+    assert abs(float(mart.payments.agg(F.sum("pct_of_total_trips")).first()[0]) - 100) <= 0.05
+
+
+def test_silver_plans_do_not_shuffle_trips(spark, tmp_path):
+    refresh, sources = refresh_of(spark, tmp_path, source_trips(spark, *GOOD))
+    refresh.bronze(*sources)
+    refresh.silver()
+    stored = StoredMart(refresh.warehouse.snapshot())
+    plan = clean_trips(stored.raw_trips, stored.zones, refresh.run_at)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in plan
+    assert "GreaterThanOrEqual(fare_amount,0.000000)" in plan
+
+
+def test_old_runs_are_dropped_and_current_ones_kept(spark, tmp_path):
+    first, sources = refresh_of(spark, tmp_path, source_trips(spark, *GOOD))
+    first.run(*sources, f"{tmp_path}/reports")
+    second = Refresh(spark, first.warehouse, run_at=RUN_AT)
+    second.run(*sources, f"{tmp_path}/reports")
+    dropped = first.warehouse.drop_old_runs()
+    assert sorted(dropped) == sorted(f"{layer}/{first.run_id}" for layer in ("bronze", "silver", "gold", "rollup"))
+    assert StoredMart(first.warehouse.snapshot()).trips.count() == 3
+    assert first.warehouse.drop_old_runs() == []
+
+
+def test_command_line(spark, tmp_path, capsys):
+    trips, zones = write_sources(spark, f"{tmp_path}/source", source_trips(spark, *GOOD))
+    arguments = ["--trips", trips, "--zones", zones, "--warehouse", f"{tmp_path}/wh"]
+    assert command.main([*arguments, "--bronze-only"]) == 0
+    assert "bronze.raw_taxi_trips: 4 rows" in capsys.readouterr().out
+    assert command.main([*arguments, "--drop-old-runs"]) == 0
+    assert "Q1_total_trips: 1 rows" in capsys.readouterr().out
+    assert glob(f"{tmp_path}/wh/reports/Q19_zone_rank_per_borough.md/part-*")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -16,6 +17,7 @@ from tripmart.schemas import LOAD_AUDIT
 # The states of a load.
 RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
 
+# ``event_at`` is the directory an event was written to.
 EVENT_SCHEMA = T.StructType([*LOAD_AUDIT.schema.fields, T.StructField("event_at", T.LongType())])
 
 # The latest event of every load, as a row of the audit table.
@@ -26,10 +28,23 @@ FROM (SELECT max_by(struct({", ".join(LOAD_AUDIT.column_names)}), event_at) AS s
 """
 
 
+_lock = threading.Lock()
+_last_taken = 0
+
+
 def utc_now() -> datetime:
     return datetime.now(UTC).replace(tzinfo=None)
 
 
+def take_numbers(count: int) -> int:
+    """First of ``count`` increasing numbers nobody else in this process gets; clock-based."""
+    global _last_taken
+    with _lock:
+        first = max(time.time_ns(), _last_taken + 1)
+        _last_taken = first + count - 1
+    return first
+
+
 class LoadAudit:
     """Events survive a failed load: each is its own small append, before and after the load."""
 
@@ -40,7 +55,7 @@ class LoadAudit:
     @contextmanager
     def load(self, process_name: str, *tables: str) -> Iterator[dict[str, int]]:
         """Records one load of ``tables``. The body fills in row counts; an error is recorded and raised."""
-        first_id = time.time_ns()
+        first_id = take_numbers(len(tables))
         started = utc_now()
         ids = {table: first_id + offset for offset, table in enumerate(tables)}
         row_counts: dict[str, int] = {}
@@ -51,7 +66,6 @@ class LoadAudit:
                 (
                     ids[table], table.split(".")[0], table, process_name, status,
                     row_counts.get(table) if status == SUCCESS else None, started, finished, error,
-                    time.time_ns(),
                 )
                 for table in tables
             ])
@@ -69,8 +83,11 @@ class LoadAudit:
         return self.spark.sql(CURRENT_STATE, events=self.spark.read.schema(EVENT_SCHEMA).parquet(self.path))
 
     def ensure(self) -> None:
-        """Creates the empty log if there is none."""
-        self.spark.createDataFrame([], EVENT_SCHEMA).write.mode("ignore").parquet(self.path)
+        """Makes the log readable before its first event."""
+        empty = self.spark.createDataFrame([], LOAD_AUDIT.schema)
+        empty.write.mode("overwrite").parquet(f"{self.path}/event_at=0")
 
     def _append(self, events: list[tuple]) -> None:
-        literal_rows(self.spark, events, EVENT_SCHEMA).write.mode("append").parquet(self.path)
+        """Each append has a directory of its own, so loads that run side by side do not collide."""
+        frame = literal_rows(self.spark, events, LOAD_AUDIT.schema)
+        frame.write.mode("errorifexists").parquet(f"{self.path}/event_at={take_numbers(1)}")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import datetime
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart.operators import rollups
 from tripmart.operators.integrity import IntegrityError, duplicate_keys, orphan_locations
 from tripmart.plans import gold, silver
-from tripmart.plans.audit import LoadAudit, utc_now
+from tripmart.plans.audit import LoadAudit, take_numbers, utc_now
 from tripmart.plans.mart import DerivedMart, StoredMart
 from tripmart.plans.questions import REPORTS
 from tripmart.plans.warehouse import Warehouse, new_run_id
@@ -48,13 +48,19 @@ class RefreshResult:
 class Refresh:
     """One run over one warehouse. Layers can be run on their own, in order."""
 
-    def __init__(self, spark: SparkSession, warehouse: Warehouse, partition_trips_by_date: bool = False):
+    def __init__(
+        self,
+        spark: SparkSession,
+        warehouse: Warehouse,
+        partition_trips_by_date: bool = False,
+        run_at: datetime | None = None,
+    ):
         self.spark = spark
         self.warehouse = warehouse
         self.partition_trips_by_date = partition_trips_by_date
         self.audit = LoadAudit(spark, warehouse.audit_path)
-        self.run_at = utc_now()
-        self.run_id = new_run_id(self.run_at)
+        self.run_at = run_at or utc_now()
+        self.run_id = new_run_id()
         self.result = RefreshResult()
 
     def run(self, trip_source: DataFrame, zone_source: DataFrame, report_directory: str) -> RefreshResult:
@@ -66,12 +72,15 @@ class Refresh:
 
     def bronze(self, trip_source: DataFrame, zone_source: DataFrame) -> None:
         """Zones and trips are separate loads: one can succeed without the other."""
-        for table, typed, source in (
-            (RAW_ZONES, bronze_zones, zone_source), (RAW_TRIPS, bronze_trips, trip_source),
-        ):
-            with self.audit.load("BronzeLoader", table.name) as counts:
-                counts[table.name] = self._stage(table, typed(source, self.run_at))
-                self._publish([table])
+        self._together({
+            RAW_ZONES.name: lambda: self._load_raw(RAW_ZONES, lambda: bronze_zones(zone_source, self.run_at)),
+            RAW_TRIPS.name: lambda: self._load_raw(RAW_TRIPS, lambda: bronze_trips(trip_source, self.run_at)),
+        })
+
+    def _load_raw(self, table: Table, typed: Callable[[], DataFrame]) -> None:
+        with self.audit.load("BronzeLoader", table.name) as counts:
+            counts[table.name] = self._stage(table, typed())
+            self._publish([table])
 
     def silver(self) -> None:
         """Zones, issues, trips and the trip rollups are one load: all are published or none."""
@@ -147,7 +156,7 @@ class Refresh:
         return self.warehouse.read_run(table.name, self.run_id)
 
     def _publish(self, tables: list[Table]) -> None:
-        self.warehouse.publish(self.run_id, [table.name for table in tables], at=time.time_ns())
+        self.warehouse.publish(self.run_id, [table.name for table in tables], at=take_numbers(1))
 
     def _together(self, writes: dict[str, Callable[[], T]]) -> dict[str, T]:
         """Independent writes are submitted side by side, so one's last tasks overlap the next."""

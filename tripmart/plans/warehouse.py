@@ -12,7 +12,6 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable
-from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,22 +20,23 @@ from pyspark.sql import types as T
 
 from tripmart.functions.frames import literal_rows
 from tripmart.operators.integrity import IntegrityError, row_metrics
-from tripmart.plans.audit import CURRENT_STATE, LoadAudit
+from tripmart.plans.audit import CURRENT_STATE, LoadAudit, utc_now
 from tripmart.plans.views import CATALOG_VIEWS
 from tripmart.schemas import LOAD_AUDIT, TABLES, Table
 
-PUBLISHED_SCHEMA = T.StructType([
+ENTRY_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("run_id", T.StringType()),
-    T.StructField("published_at", T.LongType()),
 ])
+# ``published_at`` is the directory an entry was written to; publishers do not share one.
+PUBLISHED_SCHEMA = T.StructType([*ENTRY_SCHEMA.fields, T.StructField("published_at", T.LongType())])
 EMPTY_RUN = "empty"
 RUN_NAME = re.compile(r"\d{8}T\d{12}-[0-9a-f]{8}")
 
 
-def new_run_id(at: datetime) -> str:
+def new_run_id() -> str:
     """Sorts by start time; the suffix keeps runs apart that start together."""
-    return f"{at:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    return f"{utc_now():%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
 
 class Warehouse:
@@ -70,7 +70,8 @@ class Warehouse:
         return rows
 
     def read_run(self, table: str, run_id: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[table].schema).parquet(self.path(table, run_id))
+        stored = self.spark.read.schema(TABLES[table].schema).parquet(self.path(table, run_id))
+        return stored.select(*TABLES[table].column_names)
 
     def snapshot(self) -> Callable[[str], DataFrame]:
         """A reader of the tables as published now; later publishing does not change what it reads."""
@@ -84,8 +85,10 @@ class Warehouse:
         return read
 
     def publish(self, run_id: str, tables: list[str], at: int) -> None:
-        rows = [(table, run_id, at) for table in tables]
-        literal_rows(self.spark, rows, PUBLISHED_SCHEMA).write.mode("append").parquet(self._log_path)
+        """Makes one run the current one of all ``tables`` at once; the highest ``at`` wins."""
+        rows = [(table, run_id) for table in tables]
+        entry = literal_rows(self.spark, rows, ENTRY_SCHEMA)
+        entry.write.mode("append").parquet(f"{self._log_path}/published_at={at}")
 
     def current_runs(self) -> dict[str, str]:
         """Run of each published table: as many rows as there are declared tables."""
