@@ -84,7 +84,8 @@ def test_empty_tables_exist_before_the_first_load(spark, tmp_path):
 )
 def test_a_broken_rule_keeps_the_last_silver(spark, tmp_path, trips, zones, message):
     first, sources = refresh_of(spark, tmp_path / "one", source_trips(spark, *GOOD))
-    first.run(*sources, f"{tmp_path}/reports")
+    first.bronze(*sources)
+    first.silver()
     paths = write_sources(spark, f"{tmp_path}/two", source_trips(spark, *trips), zones)
     second = Refresh(spark, first.warehouse, run_at=RUN_AT)
     second.bronze(read_trip_files(spark, paths[0]), read_zone_files(spark, paths[1]))
@@ -93,10 +94,8 @@ def test_a_broken_rule_keeps_the_last_silver(spark, tmp_path, trips, zones, mess
     mart = StoredMart(first.warehouse.snapshot())
     assert mart.raw_trips.count() == len(trips)
     assert mart.trips.count() == 3 and mart.issues.count() == 2 and mart.zones.count() == 3
-    failed = audit_of(spark, tmp_path / "one")["silver.taxi_trips_cleaned"]
     states = LoadAudit(spark, first.warehouse.audit_path).current().groupBy("layer", "status").count().collect()
     assert ("silver", "FAILED", 3) in [tuple(row) for row in states]
-    assert failed is not None
 
 
 def test_a_failed_bronze_load_is_recorded_and_raised(spark, tmp_path):

@@ -2,24 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def literal_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
-    """A one-partition frame of literals, evaluated in the JVM; ``rows`` must not be empty."""
-    structs = [
-        F.struct(*[
-            _literal(value, field.dataType).alias(field.name)
-            for value, field in zip(row, schema.fields, strict=True)
-        ])
-        for row in rows
-    ]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
-
-
-def _literal(value, kind: T.DataType):
-    # Timestamps go through text: a Python datetime would pick up the driver's own time zone.
-    text = value.isoformat(sep=" ") if isinstance(kind, T.TimestampNTZType) and value else value
-    return F.lit(text).cast(kind)
+def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows as a one-partition frame: a local relation, with no Python task and no generated code."""
+    names = schema.fieldNames()
+    table = pa.Table.from_pylist([dict(zip(names, row, strict=True)) for row in rows])
+    return spark.createDataFrame(table, schema).coalesce(1)

@@ -235,6 +235,12 @@ _SELECTS = {
         SELECT borough, zone, total_revenue, total_pickup_trips,
                rank() OVER (PARTITION BY borough ORDER BY total_revenue DESC) AS rank_in_borough
         FROM zone_performance ORDER BY borough, rank_in_borough, location_id LIMIT 30""",
+    "markdown_zone_performance": """
+        SELECT '| ' || location_id || ' | ' || borough || ' | ' || zone || ' | ' || total_pickup_trips || ' | '
+               || total_dropoff_trips || ' | ' || CAST(total_revenue AS decimal(28,2)) || ' | '
+               || coalesce(CAST(CAST(avg_fare AS decimal(20,2)) AS varchar), '') || ' | '
+               || coalesce(CAST(CAST(avg_tip AS decimal(20,2)) AS varchar), '') || ' |' AS value
+        FROM zone_performance""",
 }
 
 

@@ -11,7 +11,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tripmart.functions.frames import literal_rows
+from tripmart.functions.frames import small_frame
 from tripmart.schemas import LOAD_AUDIT
 
 # The states of a load.
@@ -89,5 +89,5 @@ class LoadAudit:
 
     def _append(self, events: list[tuple]) -> None:
         """Each append has a directory of its own, so loads that run side by side do not collide."""
-        frame = literal_rows(self.spark, events, LOAD_AUDIT.schema)
+        frame = small_frame(self.spark, events, LOAD_AUDIT.schema)
         frame.write.mode("errorifexists").parquet(f"{self.path}/event_at={take_numbers(1)}")

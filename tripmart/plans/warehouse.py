@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.functions.frames import literal_rows
+from tripmart.functions.frames import small_frame
 from tripmart.operators.integrity import IntegrityError, row_metrics
 from tripmart.plans.audit import CURRENT_STATE, LoadAudit, utc_now
 from tripmart.plans.views import CATALOG_VIEWS
@@ -87,7 +87,7 @@ class Warehouse:
     def publish(self, run_id: str, tables: list[str], at: int) -> None:
         """Makes one run the current one of all ``tables`` at once; the highest ``at`` wins."""
         rows = [(table, run_id) for table in tables]
-        entry = literal_rows(self.spark, rows, ENTRY_SCHEMA)
+        entry = small_frame(self.spark, rows, ENTRY_SCHEMA)
         entry.write.mode("append").parquet(f"{self._log_path}/published_at={at}")
 
     def current_runs(self) -> dict[str, str]:

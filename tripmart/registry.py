@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from tripmart.operators import integrity
 from tripmart.plans import questions
 from tripmart.plans.mart import DerivedMart
-from tripmart.schemas import TRIPS, ZONES
+from tripmart.schemas import TRIPS, ZONE_PERFORMANCE, ZONES
+from tripmart.sinks import markdown_row
 from tripmart.sources.bronze import bronze_trips, bronze_zones
 from tripmart.sources.sample_tables import event_trips, sample_zones
 
@@ -79,6 +80,9 @@ PRODUCTS: dict[str, Callable[[DerivedMart], DataFrame]] = {
     "q18_zone_revenue_ranking": questions.zone_revenue_ranking,
     "q18_written_report": lambda mart: questions.zone_revenue_ranking(mart).drop("revenue_dense_rank"),
     "q19_zone_ranking_in_borough": questions.zone_ranking_in_borough,
+    "markdown_zone_performance": lambda mart: mart.zone_performance.select(
+        markdown_row(ZONE_PERFORMANCE.column_names).alias("value")
+    ),
 }
 
 

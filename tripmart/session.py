@@ -12,6 +12,8 @@ DEFAULTS = {
     # Runtime re-planning: merges small shuffle partitions and splits hot join keys.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A fifth less to store and read than snappy at the same writing time, measured on trips.
+    "spark.sql.parquet.compression.codec": "zstd",
     # One refresh generates more classes than the default 100; evicted ones are compiled again.
     "spark.sql.codegen.cache.maxEntries": "2000",
 }

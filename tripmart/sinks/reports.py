@@ -8,11 +8,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmart.functions.frames import literal_rows
+from tripmart.functions.frames import small_frame
 
 # Above this many rows a report is sorted across tasks, not in one.
 ONE_FILE_ROWS = 10_000
@@ -66,13 +66,8 @@ def markdown_lines(label: str, numbered: DataFrame, rows: int, run_at: datetime)
         f"# {label}", "", f"*Run at: {run_at:%Y-%m-%d %H:%M:%S}*", "", _row(columns), _row(["---"] * len(columns)),
     ]
     tail = ["", f"*Total: {rows} rows*"]
-    cells = [F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")) for name in columns]
-    body = numbered.select(
-        F.lit(1).alias("part"),
-        F.col(POSITION),
-        F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |")).alias("value"),
-    )
-    fixed = literal_rows(
+    body = numbered.select(F.lit(1).alias("part"), F.col(POSITION), markdown_row(columns).alias("value"))
+    fixed = small_frame(
         numbered.sparkSession,
         [(0, at, line) for at, line in enumerate(head)] + [(2, at, line) for at, line in enumerate(tail)],
         LINE_SCHEMA,
@@ -80,6 +75,11 @@ def markdown_lines(label: str, numbered: DataFrame, rows: int, run_at: datetime)
     return _in_order(body.unionByName(fixed), rows, "part", POSITION).select("value")
 
 
+def markdown_row(columns: list[str]) -> Column:
+    cells = [F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")) for name in columns]
+    return F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+
+
 def _in_order(frame: DataFrame, rows: int, *keys: str) -> DataFrame:
     if rows <= ONE_FILE_ROWS:
         return frame.coalesce(1).sortWithinPartitions(*keys)
