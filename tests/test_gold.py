@@ -76,7 +76,8 @@ def test_shares_add_up(spark):
 def test_trends_count_rows_not_days(spark):
     days = [1, 2, 3, 4, 5, 6, 7, 20]
     changes = [
-        {"tpep_pickup_datetime": datetime(2026, 1, day, 8), "tpep_dropoff_datetime": datetime(2026, 1, day, 9), "total_amount": float(day)}
+        {"tpep_pickup_datetime": datetime(2026, 1, day, 8), "tpep_dropoff_datetime": datetime(2026, 1, day, 9),
+         "total_amount": float(day)}
         for day in days for _ in range(day)
     ]
     result = rows(
@@ -104,7 +105,8 @@ def test_ranks_leave_gaps_and_dense_ranks_do_not(spark):
 @pytest.mark.parametrize("top", [1, 2, 3, 4])
 def test_ranking_only_the_first_rows_gives_the_full_ranks(spark, top):
     zones = [(n, f"b{n % 3}", f"z{n}", None) for n in range(1, 10)]
-    mart = mart_of(spark, *[{"PULocationID": n, "DOLocationID": 1, "total_amount": float(n % 4)} for n in range(1, 10)], zones=zones)
+    changes = [{"PULocationID": n, "DOLocationID": 1, "total_amount": float(n % 4)} for n in range(1, 10)]
+    mart = mart_of(spark, *changes, zones=zones)
     full = {row["zone"]: row for row in mart.zone_ranks.collect()}
     for row in questions.zone_revenue_ranking(mart, top).collect():
         assert row["revenue_rank"] == full[row["zone"]]["revenue_rank"]

@@ -148,7 +148,8 @@ def test_invariants_on_sample_trips(spark, tmp_path):
     assert (counts["bronze.raw_taxi_trips"], counts["silver.taxi_trips_cleaned"]) == (10_000, 8_782)
     assert counts["silver.data_quality_issues"] == 3_211 and refresh.result.rejected_trips == 1_218
     assert mart.trips.select("trip_id").distinct().count() == 8_782
-    sums = mart.zone_performance.agg(F.sum("total_pickup_trips"), F.sum("total_dropoff_trips"), F.sum("total_revenue")).first()
+    totals = ("total_pickup_trips", "total_dropoff_trips", "total_revenue")
+    sums = mart.zone_performance.agg(*[F.sum(name) for name in totals]).first()
     assert tuple(sums)[:2] == (8_782, 8_782) and str(sums[2]) == "462385.90"
     last = mart.daily_trends.orderBy(F.desc("pickup_date")).first()
     assert last["running_total_revenue"] == sums[2]

@@ -8,13 +8,16 @@ from samples import RUN_AT, source_trips, source_zones
 
 from tripmart.operators.lookup import attach_zone, keep_known_locations
 from tripmart.plans.mart import DerivedMart
+from tripmart.plans.silver import quality_issues
 from tripmart.schemas import ISSUES, TRIPS, ZONES
 from tripmart.sources import bronze_trips, bronze_zones
 
 
 def mart_of(spark, *changes, zones=None):
-    named = [frame.withColumn("source_file", F.lit("f")) for frame in (source_trips(spark, *changes), source_zones(spark, zones))]
-    return DerivedMart(bronze_trips(named[0], RUN_AT), bronze_zones(named[1], RUN_AT), RUN_AT)
+    trips, zone_rows = (
+        frame.withColumn("source_file", F.lit("f")) for frame in (source_trips(spark, *changes), source_zones(spark, zones))
+    )
+    return DerivedMart(bronze_trips(trips, RUN_AT), bronze_zones(zone_rows, RUN_AT), RUN_AT)
 
 
 def plan_of(frame):
@@ -78,8 +81,7 @@ def test_issue_columns_and_unique_ids(spark):
 def test_issues_need_one_scan_and_no_shuffle(spark, tmp_path):
     source_trips(spark, {}).write.parquet(str(tmp_path / "t"))
     raw = spark.read.parquet(str(tmp_path / "t")).withColumn("source_file", F.lit("f"))
-    mart = DerivedMart(bronze_trips(raw, RUN_AT), bronze_zones(source_zones(spark).withColumn("source_file", F.lit("f")), RUN_AT), RUN_AT)
-    plan = plan_of(mart.issues)
+    plan = plan_of(quality_issues(bronze_trips(raw, RUN_AT), RUN_AT))
     assert plan.count("FileScan") == 1 and "Exchange" not in plan
 
 
