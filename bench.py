@@ -28,6 +28,7 @@ from tripmart.sources import read_trip_files, read_zone_files  # noqa: E402
 from tripmart.sources.sample_tables import order_trips, sample_zones  # noqa: E402
 
 RUN_AT = datetime(2024, 2, 1)
+WARM_UPS = 2
 VIEWS = ("trip_enriched", "daily_trends", "zone_ranks")
 
 
@@ -68,7 +69,7 @@ def main() -> None:
     def record(name: str, action) -> None:
         times.setdefault(name, []).append(timed(action))
 
-    for attempt in range(runs + 1):
+    for attempt in range(WARM_UPS + runs):
         refresh = Refresh(spark, warehouse, run_at=RUN_AT)
         started = time.perf_counter()
         record("layer_bronze", lambda: refresh.bronze(
@@ -78,8 +79,8 @@ def main() -> None:
         record("layer_gold", refresh.gold)
         record("all_reports_written", lambda: refresh.reports(f"{work}/reports"))
         times.setdefault("full_refresh", []).append(time.perf_counter() - started)
-        if attempt == 0:
-            times.clear()  # the first pass only warms up
+        if attempt < WARM_UPS:
+            times.clear()
     if refresh.result.failed_reports:
         raise SystemExit(f"failed reports: {refresh.result.failed_reports}")
 
