@@ -7,7 +7,9 @@ import duckdb
 import pandas as pd
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tripmart.oracle import oracle_queries as oracle_sql
+from tripmart.registry import sample_queries as queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 EXPECT_EMPTY = {"integrity_duplicate_keys"}
