@@ -1,3 +1,4 @@
+from datetime import timedelta
 from glob import glob
 
 import pytest
@@ -6,17 +7,21 @@ from samples import RUN_AT, ZONES, source_trips, write_sources
 
 from tripmart import __main__ as command
 from tripmart.operators.integrity import IntegrityError
+from tripmart.plans import audit as audit_module
 from tripmart.plans import refresh as refresh_module
 from tripmart.plans.audit import LoadAudit
 from tripmart.plans.mart import StoredMart
+from tripmart.plans.published import KEPT_ENTRIES, StaleRun
 from tripmart.plans.questions import REPORTS, Report
 from tripmart.plans.refresh import Refresh
-from tripmart.plans.silver import clean_trips
+from tripmart.plans.silver import clean_trips, clean_zones
 from tripmart.plans.warehouse import Warehouse
 from tripmart.schemas import TABLES
-from tripmart.sources import read_trip_files, read_zone_files
+from tripmart.sources import bronze_zones, read_trip_files, read_zone_files
 from tripmart.sources.sample_tables import event_trips
 
+NOW = timedelta(0)
+ZONES_TABLE = TABLES["silver.taxi_zones"]
 GOOD = [{}, {"payment_type": 0}, {"fare_amount": -1.0}, {"PULocationID": 2, "DOLocationID": 3}]
 
 
@@ -171,10 +176,87 @@ def test_old_runs_are_dropped_and_current_ones_kept(spark, tmp_path):
     first.run(*sources, f"{tmp_path}/reports")
     second = Refresh(spark, first.warehouse, run_at=RUN_AT)
     second.run(*sources, f"{tmp_path}/reports")
-    dropped = first.warehouse.drop_old_runs()
+    assert first.warehouse.drop_old_runs() == []
+    dropped = first.warehouse.drop_old_runs(NOW)
     assert sorted(dropped) == sorted(f"{layer}/{first.run_id}" for layer in ("bronze", "silver", "gold", "rollup"))
     assert StoredMart(first.warehouse.snapshot()).trips.count() == 3
-    assert first.warehouse.drop_old_runs() == []
+    assert first.warehouse.drop_old_runs(NOW) == []
+
+
+def test_a_run_under_way_is_kept_and_does_not_replace_a_later_one(spark, tmp_path):
+    older, sources = refresh_of(spark, tmp_path, source_trips(spark, *GOOD))
+    older.warehouse.stage(ZONES_TABLE, clean_zones(bronze_zones(sources[1], RUN_AT)), older.run_id)
+    newer = Refresh(spark, older.warehouse, run_at=RUN_AT)
+    newer.run(*sources, f"{tmp_path}/reports")
+    assert older.warehouse.drop_old_runs(NOW) == []
+    assert older.warehouse.read_run(ZONES_TABLE.name, older.run_id).count() == 3
+    with pytest.raises(StaleRun):
+        older.bronze(*sources)
+    assert older.warehouse.drop_old_runs(NOW) == [f"bronze/{older.run_id}"]
+    read = older.warehouse.snapshot()
+    assert [read(name).count() >= 0 for name in TABLES] == [True] * len(TABLES)
+    assert set(older.warehouse.current_runs().values()) == {newer.run_id}
+    failed = LoadAudit(spark, older.warehouse.audit_path).current().where("status = 'FAILED'")
+    assert {row["layer"] for row in failed.collect()} == {"bronze"}
+
+
+def test_publishing_what_is_not_there_is_refused(spark, tmp_path, monkeypatch):
+    refresh, sources = refresh_of(spark, tmp_path, source_trips(spark, *GOOD))
+    refresh.bronze(*sources)
+    stage = refresh.warehouse.stage
+    monkeypatch.setattr(refresh.warehouse, "stage", lambda table, frame, run_id, by=None: (
+        0 if table.name == "rollup.trips_by_time" else stage(table, frame, run_id, by)))
+    with pytest.raises(IntegrityError, match="no complete rollup.trips_by_time"):
+        refresh.silver()
+    assert "silver.taxi_zones" not in refresh.warehouse.current_runs()
+    assert audit_of(spark, tmp_path)["silver.taxi_zones"][0] == "FAILED"
+
+
+def test_names_follow_the_data(spark, tmp_path):
+    warehouse = Warehouse(spark, f"{tmp_path}/wh", named=True)
+    warehouse.register()
+    for count in (1, 2, 3):
+        paths = write_sources(spark, f"{tmp_path}/{count}", source_trips(spark, *[{}] * count))
+        refresh = Refresh(spark, warehouse, run_at=RUN_AT)
+        refresh.run(read_trip_files(spark, paths[0]), read_zone_files(spark, paths[1]), f"{tmp_path}/reports")
+        warehouse.drop_old_runs(NOW)
+        for name in ("silver.taxi_trips_cleaned", "bronze.raw_taxi_trips", "gold.vw_trip_enriched"):
+            assert spark.sql(f"SELECT count(*) FROM {name}").first()[0] == count
+        assert spark.sql("SELECT sum(total_trips) FROM gold.daily_trip_summary").first()[0] == count
+    unnamed = Warehouse(spark, f"{tmp_path}/wh")
+    last = Refresh(spark, unnamed, run_at=RUN_AT)
+    last.run(read_trip_files(spark, paths[0]), read_zone_files(spark, paths[1]), f"{tmp_path}/reports")
+    assert unnamed.drop_old_runs(NOW) == []
+    assert spark.sql("SELECT count(*) FROM silver.taxi_trips_cleaned").first()[0] == 3
+
+
+def test_logs_stay_small(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(audit_module, "LOOSE_EVENTS", 10)
+    warehouse = Warehouse(spark, f"{tmp_path}/wh")
+    warehouse.ensure_tables()
+    audit = LoadAudit(spark, warehouse.audit_path)
+    for k in range(60):
+        warehouse._published.publish(f"20240101T{k:012d}-00000000", ["silver.taxi_zones"])
+        with audit.load("again", "silver.taxi_zones") as counts:
+            counts["silver.taxi_zones"] = k
+    assert warehouse.current_runs()["silver.taxi_zones"] == "20240101T000000000059-00000000"
+    assert len(glob(f"{tmp_path}/wh/_published/*.json")) <= KEPT_ENTRIES + 1
+    assert len(glob(f"{tmp_path}/wh/audit/events/event_at=*")) <= 30
+    states = audit.current().collect()
+    assert sorted(row["row_count"] for row in states) == list(range(60))
+    assert {row["status"] for row in states} == {"SUCCESS"}
+
+
+def test_row_ids_are_given_below_the_joins(spark, tmp_path):
+    refresh, sources = refresh_of(spark, tmp_path, source_trips(spark, *GOOD))
+    refresh.bronze(*sources)
+    raw = refresh.warehouse.snapshot()("bronze.raw_taxi_trips")
+    zones = clean_zones(refresh.warehouse.snapshot()("bronze.raw_taxi_zones")).hint("merge")
+    trips = clean_trips(raw, zones, refresh.run_at)
+    plan = trips._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "GreaterThanOrEqual(fare_amount,0.000000)" in plan
+    assert plan.index("monotonically_increasing_id") > plan.rindex("SortMergeJoin")
+    assert trips.select("trip_id").distinct().count() == trips.count() == 3
 
 
 def test_command_line(spark, tmp_path, capsys):

@@ -4,7 +4,7 @@ from glob import glob
 import pytest
 from samples import RUN_AT
 
-from tripmart.sinks import reports, write_report
+from tripmart.sinks import write_report
 
 
 def text(directory, name):
@@ -27,18 +27,18 @@ def test_report_files(spark, tmp_path):
     )
 
 
-@pytest.mark.parametrize("one_file_rows", [10_000, 100])
-def test_order_is_kept_across_partitions_and_runs_replace_each_other(spark, tmp_path, monkeypatch, one_file_rows):
-    monkeypatch.setattr(reports, "ONE_FILE_ROWS", one_file_rows)
-    for count in (5, 3000):
-        result = spark.range(count).repartition(6).orderBy("id")
-        assert write_report("ordered", result, str(tmp_path), RUN_AT) == count
-    _, markdown = text(tmp_path, "ordered.md")
+@pytest.mark.parametrize("count", [0, 3, 3_000, 50_000])
+def test_order_is_kept_across_partitions_and_runs_replace_each_other(spark, tmp_path, count):
+    for rows in (5, count):
+        result = spark.range(rows).repartition(6).orderBy("id")
+        assert write_report("ordered", result, str(tmp_path), RUN_AT) == rows
+    files, markdown = text(tmp_path, "ordered.md")
     lines = markdown.splitlines()
-    assert lines[0] == "# ordered" and lines[-1] == "*Total: 3000 rows*"
-    assert lines[6:-2] == [f"| {number} |" for number in range(3000)]
-    _, table = text(tmp_path, "ordered.csv")
-    assert [line for line in table.splitlines() if line != "id"] == [str(number) for number in range(3000)]
+    assert lines[0] == "# ordered" and lines[-1] == f"*Total: {count} rows*"
+    assert lines[6:-2] == [f"| {number} |" for number in range(count)]
+    csv_files, table = text(tmp_path, "ordered.csv")
+    assert [line for line in table.splitlines() if line != "id"] == [str(number) for number in range(count)]
+    assert files == csv_files == 1
 
 
 def test_empty_result_still_has_a_header(spark, tmp_path):

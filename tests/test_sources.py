@@ -71,3 +71,32 @@ def test_zone_id_that_is_no_number_fails(spark, tmp_path):
     path = write_csv(tmp_path, "LocationID,Borough,Zone,service_zone\nx,a,b,c\n")
     with pytest.raises(NumberFormatException):
         bronze_zones(read_zone_files(spark, path), RUN_AT).collect()
+
+
+def monthly_files(spark, tmp_path, first, second):
+    for name, frame in (("a", first), ("b", second)):
+        frame.coalesce(1).write.parquet(str(tmp_path / name))
+    return str(tmp_path / "a"), str(tmp_path / "b")
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_a_column_missing_from_any_file_raises_with_its_name(spark, tmp_path, turned):
+    whole, short = source_trips(spark, {}), source_trips(spark, {"fare_amount": 7.0}).drop("cbd_congestion_fee")
+    paths = monthly_files(spark, tmp_path, *((short, whole) if turned else (whole, short)))
+    with pytest.raises(ValueError, match=rf"/{'a' if turned else 'b'}/part-.* has no column cbd_congestion_fee"):
+        read_trip_files(spark, *paths)
+    for order in (paths, paths[::-1]):
+        rows = bronze_trips(read_trip_files(spark, *order, missing_as_null=("cbd_congestion_fee",)), RUN_AT).collect()
+        assert {(float(r["fare_amount"]), r["cbd_congestion_fee"]) for r in rows} == {(10.0, Decimal(0)), (7.0, None)}
+
+
+def test_files_with_other_types_and_cases_load_together(spark, tmp_path):
+    other = source_trips(spark, {"passenger_count": 3.0, "Airport_fee": 1.25}).selectExpr(
+        "* except (passenger_count, Airport_fee, PULocationID)", "cast(passenger_count as bigint) passenger_count",
+        "Airport_fee as airport_fee", "cast(PULocationID as bigint) PULocationID",
+    )
+    paths = monthly_files(spark, tmp_path, source_trips(spark, {"passenger_count": float("nan")}), other)
+    rows = bronze_trips(read_trip_files(spark, *paths), RUN_AT).orderBy("airport_fee").collect()
+    assert [(r["passenger_count"], float(r["airport_fee"]), r["pulocation_id"]) for r in rows] == [(None, 0.0, 1), (3.0, 1.25, 1)]
+    alike = bronze_trips(read_trip_files(spark, paths[0], one_schema=True), RUN_AT)
+    assert alike.columns == RAW_TRIPS.column_names and alike.count() == 1

@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import sys
 
+from tripmart.plans.gold import TOP_ROUTES
 from tripmart.plans.refresh import Refresh
 from tripmart.plans.warehouse import Warehouse
 from tripmart.session import build_session
@@ -20,12 +21,18 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--bronze-only", action="store_true", help="load the raw tables and stop")
     parser.add_argument("--partition-by-date", action="store_true", help="lay out cleaned trips by pickup date")
     parser.add_argument("--drop-old-runs", action="store_true", help="afterwards delete tables of earlier runs")
+    parser.add_argument("--register", action="store_true", help="make tables and views known to SQL by name")
+    parser.add_argument("--stored-routes", type=int, default=TOP_ROUTES, help="routes the mart keeps (default: %(default)s)")
+    parser.add_argument("--missing-as-null", nargs="*", default=[], metavar="COLUMN",
+                        help="trip columns that files may lack")
     options = parser.parse_args(arguments)
 
     spark = build_session()
-    warehouse = Warehouse(spark, options.warehouse)
-    refresh = Refresh(spark, warehouse, options.partition_by_date)
-    trips = read_trip_files(spark, *options.trips)
+    warehouse = Warehouse(spark, options.warehouse, named=options.register)
+    if options.register:
+        warehouse.register()
+    refresh = Refresh(spark, warehouse, options.partition_by_date, stored_routes=options.stored_routes)
+    trips = read_trip_files(spark, *options.trips, missing_as_null=tuple(options.missing_as_null))
     zones = read_zone_files(spark, *options.zones)
     if options.bronze_only:
         refresh.bronze(trips, zones)

@@ -16,6 +16,7 @@ class Rule:
     broken: Callable[[], Column]
 
 
+# The codes of the issue table.
 RULES = (
     Rule("negative_fare", "the fare is negative", lambda: F.col("fare_amount") < 0),
     Rule("negative_total_amount", "the total charge is negative", lambda: F.col("total_amount") < 0),

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import io
 import threading
 import time
 from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import UTC, datetime
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from tripmart.functions.frames import small_frame
+from tripmart.plans.files import SharedFiles
 from tripmart.schemas import LOAD_AUDIT
 
 # The states of a load.
@@ -20,13 +24,16 @@ RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
 # ``event_at`` is the directory an event was written to.
 EVENT_SCHEMA = T.StructType([*LOAD_AUDIT.schema.fields, T.StructField("event_at", T.LongType())])
 
-# The latest event of every load, as a row of the audit table.
+# The latest event of every load, as a row of the audit table. A load ends once, so its end counts over its start,
+# also where events were merged under a later number.
 CURRENT_STATE = f"""
 SELECT state.*
-FROM (SELECT max_by(struct({", ".join(LOAD_AUDIT.column_names)}), event_at) AS state
+FROM (SELECT max_by(struct({", ".join(LOAD_AUDIT.column_names)}), struct(status <> '{RUNNING}', event_at)) AS state
       FROM {{events}} GROUP BY audit_id)
 """
 
+# So many events on their own before they are merged into one file of the loads' current states.
+LOOSE_EVENTS = 64
 
 _lock = threading.Lock()
 _last_taken = 0
@@ -46,11 +53,16 @@ def take_numbers(count: int) -> int:
 
 
 class LoadAudit:
-    """Events survive a failed load: each is its own small append, before and after the load."""
+    """Events survive a failed load: each is a small file of its own, before and after the load.
+
+    Every so many events the current states are written as one file, and what the merge before last had read is
+    deleted; so readers of either find their files, and there are never more than a few times as many.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
+        self._files = SharedFiles(spark)
 
     @contextmanager
     def load(self, process_name: str, *tables: str) -> Iterator[dict[str, int]]:
@@ -84,10 +96,33 @@ class LoadAudit:
 
     def ensure(self) -> None:
         """Makes the log readable before its first event."""
-        empty = self.spark.createDataFrame([], LOAD_AUDIT.schema)
-        empty.write.mode("overwrite").parquet(f"{self.path}/event_at=0")
+        self._write(0, [])
 
     def _append(self, events: list[tuple]) -> None:
         """Each append has a directory of its own, so loads that run side by side do not collide."""
-        frame = small_frame(self.spark, events, LOAD_AUDIT.schema)
-        frame.write.mode("errorifexists").parquet(f"{self.path}/event_at={take_numbers(1)}")
+        self._write(take_numbers(1), events)
+        numbers = sorted(int(name.partition("=")[2]) for name in self._files.names(self.path) if name.startswith("event_at="))
+        merges = sorted(map(int, self._files.names(self._merges)))
+        if sum(number > max(merges, default=0) for number in numbers) > LOOSE_EVENTS:
+            self._merge(numbers, merges)
+
+    def _write(self, number: int, events: list[tuple]) -> None:
+        names = LOAD_AUDIT.column_names
+        rows = [dict(zip(names, event, strict=True)) for event in events]
+        buffer = io.BytesIO()
+        pq.write_table(pa.Table.from_pylist(rows, to_arrow_schema(LOAD_AUDIT.schema)), buffer)
+        self._files.create(f"{self.path}/event_at={number}/event.parquet", buffer.getvalue())
+
+    def _merge(self, numbers: list[int], merges: list[int]) -> None:
+        number = take_numbers(1)
+        self.current().coalesce(1).write.parquet(f"{self.path}/event_at={number}")
+        self._files.create(f"{self._merges}/{number}", b"")
+        for old in numbers if merges else []:
+            if old <= merges[-1] and old != 0:
+                self._files.delete(f"{self.path}/event_at={old}")
+        for old in merges[:-1]:
+            self._files.delete(f"{self._merges}/{old}")
+
+    @property
+    def _merges(self) -> str:
+        return f"{self.path}_merged"

@@ -1,0 +1,55 @@
+"""A few small files on whatever file system Spark writes to, from the driver."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+class SharedFiles:
+    def __init__(self, spark: SparkSession):
+        self._hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        self._configuration = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def _at(self, path: str):
+        place = self._hadoop.Path(path)
+        return place.getFileSystem(self._configuration), place
+
+    def names(self, directory: str) -> dict[str, int]:
+        """Names within a directory and when each was last changed (milliseconds); empty if there is none."""
+        system, place = self._at(directory)
+        if not system.exists(place):
+            return {}
+        return {entry.getPath().getName(): entry.getModificationTime() for entry in system.listStatus(place)}
+
+    def exists(self, path: str) -> bool:
+        system, place = self._at(path)
+        return system.exists(place)
+
+    def create(self, path: str, content: bytes) -> bool:
+        """Writes a new file; false, and nothing written, if it is there already."""
+        system, place = self._at(path)
+        if system.exists(place):
+            return False
+        try:
+            stream = system.create(place, False)
+        except Exception as error:
+            if "AlreadyExists" in str(error):
+                return False
+            raise
+        try:
+            stream.write(bytearray(content))
+        finally:
+            stream.close()
+        return True
+
+    def read(self, path: str) -> bytes:
+        system, place = self._at(path)
+        stream = system.open(place)
+        try:
+            return bytes(stream.readAllBytes())
+        finally:
+            stream.close()
+
+    def delete(self, path: str) -> None:
+        system, place = self._at(path)
+        system.delete(place, True)

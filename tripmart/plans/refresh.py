@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmart.operators import rollups
 from tripmart.operators.integrity import IntegrityError, duplicate_keys, orphan_locations
 from tripmart.plans import gold, silver
-from tripmart.plans.audit import LoadAudit, take_numbers, utc_now
+from tripmart.plans.audit import LoadAudit, utc_now
 from tripmart.plans.mart import DerivedMart, StoredMart
 from tripmart.plans.questions import REPORTS
 from tripmart.plans.warehouse import Warehouse, new_run_id
@@ -28,6 +28,9 @@ from tripmart.sources import bronze_trips, bronze_zones
 MAX_LISTED = 5
 MAX_TOGETHER = 6
 
+# The names the audit has the loads under.
+BRONZE_LOAD, SILVER_LOAD, GOLD_LOAD = "BronzeLoader", "SilverTransformer", "GoldMartBuilder"
+
 T = TypeVar("T")
 
 
@@ -54,10 +57,13 @@ class Refresh:
         warehouse: Warehouse,
         partition_trips_by_date: bool = False,
         run_at: datetime | None = None,
+        stored_routes: int = gold.TOP_ROUTES,
     ):
+        """stored_routes: how many of the most travelled routes the mart keeps."""
         self.spark = spark
         self.warehouse = warehouse
         self.partition_trips_by_date = partition_trips_by_date
+        self.stored_routes = stored_routes
         self.audit = LoadAudit(spark, warehouse.audit_path)
         self.run_at = run_at or utc_now()
         self.run_id = new_run_id()
@@ -72,20 +78,24 @@ class Refresh:
 
     def bronze(self, trip_source: DataFrame, zone_source: DataFrame) -> None:
         """Zones and trips are separate loads: one can succeed without the other."""
-        self._together({
-            RAW_ZONES.name: lambda: self._load_raw(RAW_ZONES, lambda: bronze_zones(zone_source, self.run_at)),
-            RAW_TRIPS.name: lambda: self._load_raw(RAW_TRIPS, lambda: bronze_trips(trip_source, self.run_at)),
-        })
+        with self.warehouse.ending(self.run_id, RAW_TRIPS.layer):
+            self._together({
+                RAW_ZONES.name: lambda: self._load_raw(RAW_ZONES, lambda: bronze_zones(zone_source, self.run_at)),
+                RAW_TRIPS.name: lambda: self._load_raw(RAW_TRIPS, lambda: bronze_trips(trip_source, self.run_at)),
+            })
 
     def _load_raw(self, table: Table, typed: Callable[[], DataFrame]) -> None:
-        with self.audit.load("BronzeLoader", table.name) as counts:
+        with self.audit.load(BRONZE_LOAD, table.name) as counts:
             counts[table.name] = self._stage(table, typed())
             self._publish([table])
 
     def silver(self) -> None:
         """Zones, issues, trips and the trip rollups are one load: all are published or none."""
         tables = [ZONES, ISSUES, TRIPS, TRIPS_BY_TIME, TRIPS_BY_ROUTE]
-        with self.audit.load("SilverTransformer", *[table.name for table in tables]) as counts:
+        with (
+            self.warehouse.ending(self.run_id, TRIPS.layer, TRIPS_BY_ROUTE.layer),
+            self.audit.load(SILVER_LOAD, *[table.name for table in tables]) as counts,
+        ):
             stored = StoredMart(self.warehouse.snapshot())
             counts[ZONES.name] = self._stage(ZONES, silver.clean_zones(stored.raw_zones))
             zones = self._staged(ZONES)
@@ -111,9 +121,12 @@ class Refresh:
             HOURLY: lambda: gold.hourly_demand(stored.trips_by_time),
             ZONE_PERFORMANCE: lambda: gold.zone_performance(stored.trips_by_route, stored.zones),
             PAYMENTS: lambda: gold.payment_behavior(stored.trips_by_time),
-            ROUTES: lambda: gold.route_performance(stored.trips_by_route, stored.zones),
+            ROUTES: lambda: gold.route_performance(stored.trips_by_route, stored.zones, self.stored_routes),
         }
-        with self.audit.load("GoldMartBuilder", *[table.name for table in summaries]) as counts:
+        with (
+            self.warehouse.ending(self.run_id, DAILY.layer),
+            self.audit.load(GOLD_LOAD, *[table.name for table in summaries]) as counts,
+        ):
             frames = {table: build() for table, build in summaries.items()}
             counts |= self._together({
                 table.name: lambda table=table, frame=frame: self._stage(table, frame)
@@ -156,7 +169,7 @@ class Refresh:
         return self.warehouse.read_run(table.name, self.run_id)
 
     def _publish(self, tables: list[Table]) -> None:
-        self.warehouse.publish(self.run_id, [table.name for table in tables], at=take_numbers(1))
+        self.warehouse.publish(self.run_id, [table.name for table in tables])
 
     def _together(self, writes: dict[str, Callable[[], T]]) -> dict[str, T]:
         """Independent writes are submitted side by side, so one's last tasks overlap the next."""

@@ -21,15 +21,16 @@ def clean_zones(raw_zones: DataFrame) -> DataFrame:
 
 
 def clean_trips(raw_trips: DataFrame, zones: DataFrame, created_at: datetime) -> DataFrame:
-    """Valid trips between known zones, with calendar, duration and label columns."""
-    valid = keep_known_locations(
-        raw_trips.where(valid_measures()), zones,
-        "pulocation_id", "dolocation_id",
-    )
+    """Valid trips between known zones, with calendar, duration and label columns.
+
+    Ids are given to rows of the scan, below both joins: whatever a join shuffles, a repeated task reads the same
+    rows in the same order and gives them the same ids.
+    """
+    numbered = raw_trips.where(valid_measures()).withColumn("trip_id", F.monotonically_increasing_id())
+    valid = keep_known_locations(numbered, zones, "pulocation_id", "dolocation_id")
     pickup = F.col("tpep_pickup_datetime")
     dropoff = F.col("tpep_dropoff_datetime")
     derived = {
-        "trip_id": F.monotonically_increasing_id(),
         "pickup_datetime": pickup,
         "dropoff_datetime": dropoff,
         "pickup_date": F.to_date(pickup),

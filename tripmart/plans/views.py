@@ -50,7 +50,7 @@ SELECT s.*,
 FROM {zone_performance} s
 """
 
-# Catalog name of each view, its text and the stored tables it reads.
+# The catalog name of each view. With its text and the stored tables it reads.
 CATALOG_VIEWS = {
     "gold.vw_trip_enriched": (
         TRIP_ENRICHED, {"trips": "silver.taxi_trips_cleaned", "zones": "silver.taxi_zones"},

@@ -1,37 +1,35 @@
 """Stored tables. A load writes to its own directory and shows up only once it is published.
 
-    <root>/<layer>/<run>/<table>    Parquet files of one load
-    <root>/_published               append-only log: which run of each table is current
+    <root>/<layer>/<run>/<table>        Parquet files of one load
+    <root>/_published/<number>.json     which run of each table is current; the newest entry counts
+    <root>/_ended/<layer>/<run>         the run is over in that layer, well or not
 
-Publishing appends one small file that names every table of the layer, so readers see all of them or
-none, on any file system Spark writes to. Readers of the run before are not disturbed.
+Publishing creates one small file that names every table, so readers see all tables of a layer or none,
+on any file system Spark writes to. Readers of the run before are not disturbed, and neither are queries by
+name: a name is a view that is replaced in one step.
 """
 
 from __future__ import annotations
 
 import re
+import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from datetime import timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tripmart.functions.frames import small_frame
 from tripmart.operators.integrity import IntegrityError, row_metrics
 from tripmart.plans.audit import CURRENT_STATE, LoadAudit, utc_now
+from tripmart.plans.files import SharedFiles
+from tripmart.plans.published import EMPTY_RUN, Published
 from tripmart.plans.views import CATALOG_VIEWS
 from tripmart.schemas import LOAD_AUDIT, TABLES, Table
 
-ENTRY_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType()),
-    T.StructField("run_id", T.StringType()),
-])
-# ``published_at`` is the directory an entry was written to; publishers do not share one.
-PUBLISHED_SCHEMA = T.StructType([*ENTRY_SCHEMA.fields, T.StructField("published_at", T.LongType())])
-EMPTY_RUN = "empty"
 RUN_NAME = re.compile(r"\d{8}T\d{12}-[0-9a-f]{8}")
+# A run is kept this long after its end: readers may have taken its paths just before.
+READERS_GRACE = timedelta(hours=24)
 
 
 def new_run_id() -> str:
@@ -40,10 +38,15 @@ def new_run_id() -> str:
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    """``named``: every publish also makes its tables known to SQL by name, as ``register`` does for all."""
+
+    def __init__(self, spark: SparkSession, root: str, named: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.named = named
         self.audit_path = f"{self.root}/audit/events"
+        self._files = SharedFiles(spark)
+        self._published = Published(spark, f"{self.root}/_published")
 
     def path(self, table: str, run_id: str) -> str:
         layer, name = table.split(".")
@@ -84,22 +87,28 @@ class Warehouse:
 
         return read
 
-    def publish(self, run_id: str, tables: list[str], at: int) -> None:
-        """Makes one run the current one of all ``tables`` at once; the highest ``at`` wins."""
-        rows = [(table, run_id) for table in tables]
-        entry = small_frame(self.spark, rows, ENTRY_SCHEMA)
-        entry.write.mode("append").parquet(f"{self._log_path}/published_at={at}")
+    def publish(self, run_id: str, tables: list[str]) -> None:
+        """Makes one run the current one of all ``tables`` at once. Refused if a table of the run is not there whole,
+        or if one already shows a run that started later."""
+        absent = [table for table in tables if not self._files.exists(f"{self.path(table, run_id)}/_SUCCESS")]
+        if absent:
+            raise IntegrityError(f"run {run_id} has no complete {', '.join(absent)}")
+        self._published.publish(run_id, tables)
+        if self.named:
+            self._name(tables)
 
     def current_runs(self) -> dict[str, str]:
-        """Run of each published table: as many rows as there are declared tables."""
+        """Run of each published table."""
+        return self._published.current_runs()
+
+    @contextmanager
+    def ending(self, run_id: str, *layers: str) -> Iterator[None]:
+        """Marks the run as over in these layers when the body ends, well or not."""
         try:
-            log = self.spark.read.schema(PUBLISHED_SCHEMA).parquet(self._log_path)
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return {}
-            raise
-        latest = log.groupBy("table_name").agg(F.max_by("run_id", "published_at").alias("run_id"))
-        return {row["table_name"]: row["run_id"] for row in latest.collect()}
+            yield
+        finally:
+            for layer in layers:
+                self._files.create(f"{self.root}/_ended/{layer}/{run_id}", b"")
 
     def ensure_tables(self) -> None:
         """Publishes an empty table for every declared one that is not there yet."""
@@ -109,48 +118,54 @@ class Warehouse:
             empty = self.spark.createDataFrame([], table.schema)
             empty.write.mode("ignore").parquet(self.path(table.name, EMPTY_RUN))
         if missing:
-            self.publish(EMPTY_RUN, [table.name for table in missing], at=0)
+            self._published.publish(EMPTY_RUN, [table.name for table in missing])
         LoadAudit(self.spark, self.audit_path).ensure()
 
     def register(self) -> None:
         """Makes the current tables, the views and the audit state known to SQL by name."""
         self.ensure_tables()
-        for layer in sorted({table.layer for table in (*TABLES.values(), LOAD_AUDIT)}):
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
-        for name, run_id in self.current_runs().items():
-            columns = TABLES[name].schema
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            self.spark.catalog.createTable(name, path=self.path(name, run_id), source="parquet", schema=columns)
+        self._name(list(TABLES))
         for name, (text, tables) in CATALOG_VIEWS.items():
-            self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {text.format(**tables)}")
-        events = CURRENT_STATE.format(events=f"parquet.`{self.audit_path}`")
-        self.spark.sql(f"CREATE OR REPLACE VIEW {LOAD_AUDIT.name} AS {events}")
-
-    def drop_old_runs(self) -> list[str]:
-        """Deletes runs older than every current run of their layer; returns what was deleted.
+            self._replace(name, text.format(**tables))
+        self._replace(LOAD_AUDIT.name, CURRENT_STATE.format(events=f"parquet.`{self.audit_path}`"))
 
-        A refresh under way is newer than what is published, so it is never touched.
+    def _name(self, tables: list[str]) -> None:
+        """One view per table over its current run. A name never is absent: it is replaced in one step."""
+        current = self.current_runs()
+        for name in tables:
+            columns = ", ".join(f"`{column}`" for column in TABLES[name].column_names)
+            self._replace(name, f"SELECT {columns} FROM parquet.`{self.path(name, current[name])}`")
+
+    def _replace(self, name: str, text: str) -> None:
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {text}")
+
+    def _named_runs(self) -> set[str]:
+        """Runs that names of this session's catalog read."""
+        runs = set()
+        for name in TABLES:
+            if self.spark.catalog.tableExists(name):
+                described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'View Text'").collect()
+                runs |= {run for row in described for run in RUN_NAME.findall(row["data_type"])}
+        return runs
+
+    def drop_old_runs(self, grace: timedelta = READERS_GRACE) -> list[str]:
+        """Deletes what is neither current nor named by the catalog, of runs that are over since ``grace``.
+
+        A run under way has no end marker and is never touched, whenever it started. Neither is one whose process
+        died; its directories have to be deleted by hand.
         """
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        configuration = self.spark.sparkContext._jsc.hadoopConfiguration()
-        oldest: dict[str, str] = {}
-        for table, run_id in self.current_runs().items():
-            layer = TABLES[table].layer
-            oldest[layer] = min(run_id, oldest.get(layer, run_id))
+        kept = set(self.current_runs().values()) | self._named_runs()
+        before = (time.time() - grace.total_seconds()) * 1000
         deleted = []
-        for layer, first_kept in oldest.items():
-            directory = hadoop.Path(f"{self.root}/{layer}")
-            files = directory.getFileSystem(configuration)
-            for entry in files.listStatus(directory):
-                if RUN_NAME.fullmatch(entry.getPath().getName()) and entry.getPath().getName() < first_kept:
-                    files.delete(entry.getPath(), True)
-                    deleted.append(f"{layer}/{entry.getPath().getName()}")
+        for layer in sorted({table.layer for table in TABLES.values()}):
+            for run_id, ended in sorted(self._files.names(f"{self.root}/_ended/{layer}").items()):
+                if RUN_NAME.fullmatch(run_id) and run_id not in kept and ended <= before:
+                    self._files.delete(f"{self.root}/{layer}/{run_id}")
+                    self._files.delete(f"{self.root}/_ended/{layer}/{run_id}")
+                    deleted.append(f"{layer}/{run_id}")
         return deleted
 
-    @property
-    def _log_path(self) -> str:
-        return f"{self.root}/_published"
-
     def _expect_schema(self, table: Table, frame: DataFrame) -> None:
         actual = [(field.name, field.dataType) for field in frame.schema]
         if actual != list(table.columns):

@@ -1,6 +1,7 @@
 """Writes an ordered result as CSV and as a Markdown table.
 
-Both are written by Spark in row order: a short report as one file, a long one as ordered part files.
+Both are written by Spark in row order, by one distributed sort whatever the size; adaptive execution writes a short
+report as one file and a long one as ordered part files.
 """
 
 from __future__ import annotations
@@ -8,15 +9,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.functions.frames import small_frame
 
-# Above this many rows a report is sorted across tasks, not in one.
-ONE_FILE_ROWS = 10_000
-
 POSITION = "__position"
 
 # The CSV dialect (header, CRLF line ends, doubled quotes, NULL and "" both empty).
@@ -46,16 +44,18 @@ class ReportStatus:
 
 
 def write_report(label: str, result: DataFrame, directory: str, run_at: datetime) -> int:
-    """Writes ``{directory}/{label}.csv`` and ``.md``, replacing earlier ones; returns the row count."""
-    numbered = result.withColumn(POSITION, F.monotonically_increasing_id()).persist()
-    try:
-        rows = numbered.count()
-        table = _in_order(numbered, rows, POSITION).drop(POSITION)
-        table.write.mode("overwrite").options(**CSV_DIALECT).csv(f"{directory}/{label}.csv")
-        lines = markdown_lines(label, numbered, rows, run_at)
-        lines.write.mode("overwrite").text(f"{directory}/{label}.md")
-    finally:
-        numbered.unpersist()
+    """Writes ``{directory}/{label}.csv`` and ``.md``, replacing earlier ones; returns the row count.
+
+    Rows are counted by the tasks that write the CSV. The result is ordered up to ties that its columns
+    cannot tell apart, so working it out again for the second file gives the same rows in the same order.
+    """
+    numbered = result.withColumn(POSITION, F.monotonically_increasing_id())
+    counts = Observation(f"rows of {label}")
+    ordered = numbered.orderBy(POSITION).observe(counts, F.count(F.lit(1)).alias("rows")).drop(POSITION)
+    ordered.write.mode("overwrite").options(**CSV_DIALECT).csv(f"{directory}/{label}.csv")
+    rows = counts.get["rows"]
+    lines = markdown_lines(label, numbered, rows, run_at)
+    lines.write.mode("overwrite").text(f"{directory}/{label}.md")
     return rows
 
 
@@ -72,7 +72,7 @@ def markdown_lines(label: str, numbered: DataFrame, rows: int, run_at: datetime)
         [(0, at, line) for at, line in enumerate(head)] + [(2, at, line) for at, line in enumerate(tail)],
         LINE_SCHEMA,
     )
-    return _in_order(body.unionByName(fixed), rows, "part", POSITION).select("value")
+    return body.unionByName(fixed).orderBy("part", POSITION).select("value")
 
 
 def markdown_row(columns: list[str]) -> Column:
@@ -80,11 +80,5 @@ def markdown_row(columns: list[str]) -> Column:
     return F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
 
 
-def _in_order(frame: DataFrame, rows: int, *keys: str) -> DataFrame:
-    if rows <= ONE_FILE_ROWS:
-        return frame.coalesce(1).sortWithinPartitions(*keys)
-    return frame.orderBy(*keys)
-
-
 def _row(cells: list[str]) -> str:
     return f"| {' | '.join(cells)} |"

@@ -1,11 +1,17 @@
 """Trip (Parquet) and zone (CSV) files read as declared bronze tables.
 
-Both readers are narrow: scan, project, cast. Paths may be files, directories or globs.
+Both readers are narrow: scan, project, cast. Paths may be files, directories or globs. Trip files may differ in
+schema, as monthly files do.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
+from functools import reduce
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +33,71 @@ def run_moment(at: datetime) -> Column:
     return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def read_trip_files(spark: SparkSession, *paths: str) -> DataFrame:
-    return _with_file_name(spark.read.parquet(*paths))
+def read_trip_files(
+    spark: SparkSession, *paths: str, missing_as_null: tuple[str, ...] = (), one_schema: bool = False
+) -> DataFrame:
+    """Trip files with declared columns of declared types, whatever the schema of each file.
+
+    Files are grouped by the names and types of their declared columns. Footers are read by a Spark job, through
+    pyarrow's file systems; where a store is known to Spark only, ``one_schema=True`` takes the files to be alike and
+    reads no footers. A declared column that a file lacks raises, naming the file, unless ``missing_as_null`` has it.
+    """
+    if one_schema:
+        return _declared(_with_file_name(spark.read.parquet(*paths)), missing_as_null)
+    groups = _schema_groups(spark, paths).collect()
+    for group in groups:
+        absent = set(RAW_TRIPS.column_names) - GENERATED - set(group["columns"]) - set(missing_as_null)
+        if absent:
+            raise ValueError(f"{group['files'][0]} has no column {', '.join(sorted(absent))}")
+    if len(groups) <= 1:
+        return _declared(_with_file_name(spark.read.parquet(*paths)), missing_as_null)
+    frames = [_declared(_with_file_name(spark.read.parquet(*group["files"])), missing_as_null) for group in groups]
+    return reduce(DataFrame.unionByName, frames)
+
+
+# Columns of the stored table that no file has.
+GENERATED = {"source_file", "loaded_at"}
+
+
+def _schema_groups(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame:
+    """(columns, kinds, files): one row per distinct schema. The driver gets the file names, which it needs to read
+    them; it opens none."""
+    declared = set(RAW_TRIPS.column_names) | set(RENAMED)
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                location = path.removeprefix("file:") if path.startswith("file:") else path
+                schema = pq.read_schema(location) if location.startswith("/") else _remote_schema(location)
+                found = sorted((RENAMED.get(field.name.lower(), field.name.lower()), str(field.type))
+                               for field in schema if field.name.lower() in declared)
+                yield pa.RecordBatch.from_pylist([
+                    {"file": path, "columns": [name for name, _ in found], "kinds": [kind for _, kind in found]}
+                ], pa.schema([("file", pa.string()), ("columns", pa.list_(pa.string())), ("kinds", pa.list_(pa.string()))]))
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*").load(list(paths)).select("path")
+    named = files.where(F.lower("path").endswith(".parquet") | F.lower("path").endswith(".parq")
+                        | ~F.element_at(F.split("path", "/"), -1).contains("."))
+    read = named.mapInArrow(footers, "file string, columns array<string>, kinds array<string>")
+    return read.groupBy("columns", "kinds").agg(F.array_sort(F.collect_list("file")).alias("files")).orderBy("files")
+
+
+def _remote_schema(location: str) -> pa.Schema:
+    from pyarrow import fs
+
+    scheme, _, rest = location.partition("://")
+    system, path = fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
+    return pq.read_schema(path, filesystem=system)
+
+
+def _declared(frame: DataFrame, missing_as_null: tuple[str, ...]) -> DataFrame:
+    """A source frame as declared columns of declared types; those that may be missing are filled with NULL."""
+    named = _lower_names(frame).withColumnsRenamed(RENAMED)
+    absent = {name: F.lit(None) for name in missing_as_null if name not in named.columns}
+    named = named.withColumns(absent)
+    return named.select(*[
+        _typed(named, name, kind).alias(name) for name, kind in RAW_TRIPS.columns if name != "loaded_at"
+    ])
 
 
 def read_zone_files(spark: SparkSession, *paths: str) -> DataFrame:
