@@ -243,6 +243,79 @@ _SELECTS = {
         FROM zone_performance""",
 }
 
+_ROUTE_ORDER = "total_trips DESC, pickup_zone, dropoff_zone, pickup_borough, dropoff_borough"
+
+
+def _placed(columns: str, source: str, order: str, limit: int | None = None) -> str:
+    """Rows with their position in an order, up to a limit."""
+    placed = f"SELECT {columns}, row_number() OVER (ORDER BY {order}) AS position FROM {source}"
+    return placed if limit is None else f"SELECT * FROM ({placed}) WHERE position <= {limit}"
+
+
+_RANKED = """(SELECT *, rank() OVER (ORDER BY total_revenue DESC) AS revenue_rank,
+    dense_rank() OVER (ORDER BY total_revenue DESC) AS revenue_dense_rank,
+    rank() OVER (PARTITION BY borough ORDER BY total_revenue DESC) AS rank_in_borough FROM zone_performance)"""
+_IN_BOROUGH = ("borough, zone, total_revenue, total_pickup_trips, rank_in_borough", _RANKED,
+               "borough, rank_in_borough, location_id")
+_REVENUE_ORDER = "total_revenue DESC, location_id"
+
+_SELECTS |= {
+    "integrity_raw_trips": _never_broken("bronze.raw_taxi_trips", [
+        ("passenger_count is missing", "passenger_count IS NULL"), ("tpep_pickup_datetime is missing", "pickup IS NULL"),
+        ("fare_amount is negative", "fare < 0"), ("total_amount is negative", "total < 0"),
+        ("pulocation_id is outside 0..24", "pu NOT BETWEEN 0 AND 24"),
+        ("payment_type is outside 1..4", "payment_type NOT BETWEEN 1 AND 4"),
+    ], "raw"),
+    "integrity_repeated_routes": """
+        SELECT 'bronze.raw_taxi_trips' AS table_name,
+               '{"pulocation_id":' || coalesce(pu::varchar, 'null') || ',"dolocation_id":' || coalesce(dol::varchar, 'null')
+               || '}' AS key, count(*) AS occurrences
+        FROM raw GROUP BY pu, dol HAVING count(*) > 1""",
+    "markdown_report": """
+        SELECT value, row_number() OVER (ORDER BY part, place) AS position FROM (
+            SELECT 0 AS part, 1 AS place, '# payment types' AS value UNION ALL SELECT 0, 2, ''
+            UNION ALL SELECT 0, 3, '*Run at: 2024-02-01 00:00:00*' UNION ALL SELECT 0, 4, ''
+            UNION ALL SELECT 0, 5, '| payment_type_label | total_trips | total_revenue | pct_of_total_trips |'
+            UNION ALL SELECT 0, 6, '| --- | --- | --- | --- |'
+            UNION ALL SELECT 1, row_number() OVER (ORDER BY total_trips DESC, payment_type_label),
+                   '| ' || payment_type_label || ' | ' || total_trips || ' | ' || CAST(total_revenue AS decimal(28,2))
+                   || ' | ' || CAST(pct_of_total_trips AS decimal(20,2)) || ' |' FROM payments
+            UNION ALL SELECT 2, 1, '' UNION ALL SELECT 2, 2, '*Total: ' || count(*) || ' rows*' FROM payments)""",
+    "gold_first_300_routes": _placed("*", "routes", _ROUTE_ORDER, 300),
+    "q19_first_12_in_order": _placed(*_IN_BOROUGH, 12),
+    "q5_in_order": _placed("payment_type_label, total_trips, total_revenue, pct_of_total_trips", "payments",
+                           "total_trips DESC, payment_type_label"),
+    "q6_boroughs_in_order": _placed(
+        "*", "(SELECT pickup_borough, count(*) AS total_trips FROM enriched GROUP BY pickup_borough)",
+        "total_trips DESC, pickup_borough"),
+    "q6_zones_in_order": _placed(
+        "*", "(SELECT pickup_zone, pickup_borough, count(*) AS total_trips FROM enriched GROUP BY ALL)",
+        "total_trips DESC, pickup_zone, pickup_borough", 10),
+    "q7_in_order": _placed("zone, borough, total_revenue, avg_fare, avg_tip, total_pickup_trips", "zone_performance",
+                           _REVENUE_ORDER, 10),
+    "q8_in_order": _placed("pickup_zone, dropoff_zone, pickup_borough, dropoff_borough, total_trips, total_revenue",
+                           "routes", _ROUTE_ORDER, 10),
+    "q10_in_order": _placed("*", "(SELECT error_type, count(*) AS total_issues FROM issues GROUP BY error_type)",
+                            "total_issues DESC, error_type"),
+    "q13_in_order": _placed("zone, borough, revenue AS total_revenue, trips AS total_trips, avg_tip",
+                            "pickups JOIN zones ON pu = location_id", "revenue DESC, location_id", 10),
+    "q18_in_order": _placed("zone, borough, total_revenue, total_pickup_trips, revenue_rank, revenue_dense_rank",
+                            _RANKED, "revenue_rank, location_id", 20),
+    "q19_in_order": _placed(*_IN_BOROUGH, 30),
+    "audit_states": """
+        SELECT audit_id, layer, table_name, process_name, status, row_count, CAST(started_at AS varchar) AS started_at,
+               CAST(finished_at AS varchar) AS finished_at, error_message
+        FROM (SELECT event_id % 700 AS audit_id, 'silver' AS layer, event_type AS table_name, 'load' AS process_name,
+                     CASE event_type WHEN 'purchase' THEN 'SUCCESS' WHEN 'error' THEN 'FAILED' ELSE 'RUNNING' END AS status,
+                     CASE event_type WHEN 'purchase' THEN user_id END AS row_count, ts AS started_at,
+                     CASE WHEN event_type IN ('purchase', 'error') THEN ts END AS finished_at,
+                     CASE event_type WHEN 'error' THEN 'event ' || event_id END AS error_message,
+                     row_number() OVER (PARTITION BY event_id % 700
+                                        ORDER BY event_type IN ('purchase', 'error') DESC, event_id DESC) AS nth
+              FROM events)
+        WHERE nth = 1""",
+}
+
 
 def oracle_queries() -> dict[str, str]:
     return {name: f"{_PREFIX}\n{select}" for name, select in _SELECTS.items()}

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.operators import integrity
-from tripmart.plans import questions
+from tripmart.plans import gold, questions
+from tripmart.plans.audit import CURRENT_STATE
 from tripmart.plans.mart import DerivedMart
-from tripmart.schemas import TRIPS, ZONE_PERFORMANCE, ZONES
+from tripmart.schemas import RAW_TRIPS, TRIPS, ZONE_PERFORMANCE, ZONES
 from tripmart.sinks import markdown_row
+from tripmart.sinks.reports import POSITION, markdown_lines
 from tripmart.sources.bronze import bronze_trips, bronze_zones
 from tripmart.sources.sample_tables import event_trips, sample_zones
 
@@ -46,6 +49,39 @@ def comparable(frame: DataFrame) -> DataFrame:
     return frame.select(*[column(field) for field in frame.schema if field.name not in RUN_COLUMNS])
 
 
+# Rules that raw trips do break, so that counting violations and duplicates has something to count.
+RAW_RULES = replace(
+    RAW_TRIPS, key=("pulocation_id", "dolocation_id"), required=("passenger_count", "tpep_pickup_datetime"),
+    non_negative=("fare_amount", "total_amount"), between={"pulocation_id": (0, 24), "payment_type": (1, 4)},
+)
+
+
+def in_order(result: DataFrame) -> DataFrame:
+    """An ordered result with the position of each row."""
+    numbered = result.withColumn(POSITION, F.monotonically_increasing_id())
+    place = F.row_number().over(Window.orderBy(POSITION)).cast("long")
+    return numbered.withColumn("position", place).drop(POSITION)
+
+
+def whole_report(mart: DerivedMart) -> DataFrame:
+    """A Markdown report line by line, with title, moment, table and total."""
+    result = questions.payment_types(mart)
+    numbered = result.withColumn(POSITION, F.monotonically_increasing_id())
+    return in_order(markdown_lines("payment types", numbered, result.count(), mart.run_at))
+
+
+def audit_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The current state of every load, with sample events as audit events."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "event_id % 700 AS audit_id", "'silver' AS layer", "event_type AS table_name", "'load' AS process_name",
+        "CASE event_type WHEN 'purchase' THEN 'SUCCESS' WHEN 'error' THEN 'FAILED' ELSE 'RUNNING' END AS status",
+        "CASE event_type WHEN 'purchase' THEN user_id END AS row_count", "ts AS started_at",
+        "CASE WHEN event_type IN ('purchase', 'error') THEN ts END AS finished_at",
+        "CASE event_type WHEN 'error' THEN concat('event ', event_id) END AS error_message", "event_id AS event_at",
+    )
+    return comparable(spark.sql(CURRENT_STATE, events=events))
+
+
 PRODUCTS: dict[str, Callable[[DerivedMart], DataFrame]] = {
     "bronze_trips": lambda mart: mart.raw_trips,
     "bronze_zones": lambda mart: mart.raw_zones,
@@ -54,6 +90,8 @@ PRODUCTS: dict[str, Callable[[DerivedMart], DataFrame]] = {
     "silver_issues": lambda mart: mart.issues,
     "integrity_trips": lambda mart: integrity.violations(mart.trips, TRIPS),
     "integrity_duplicate_keys": lambda mart: integrity.duplicate_keys([(ZONES, mart.zones)]),
+    "integrity_raw_trips": lambda mart: integrity.violations(mart.raw_trips, RAW_RULES),
+    "integrity_repeated_routes": lambda mart: integrity.duplicate_keys([(RAW_RULES, mart.raw_trips)]),
     "integrity_unknown_locations": lambda mart: integrity.orphan_locations(
         mart.raw_trips, ("pulocation_id", "dolocation_id"), mart.zones
     ),
@@ -83,6 +121,18 @@ PRODUCTS: dict[str, Callable[[DerivedMart], DataFrame]] = {
     "markdown_zone_performance": lambda mart: mart.zone_performance.select(
         markdown_row(ZONE_PERFORMANCE.column_names).alias("value")
     ),
+    "markdown_report": whole_report,
+    "gold_first_300_routes": lambda mart: in_order(gold.route_performance(mart.trips_by_route, mart.zones, top=300)),
+    "q19_first_12_in_order": lambda mart: in_order(questions.zone_ranking_in_borough(mart, top=12)),
+    "q5_in_order": lambda mart: in_order(questions.payment_types(mart)),
+    "q6_boroughs_in_order": lambda mart: in_order(questions.busiest_boroughs(mart)),
+    "q6_zones_in_order": lambda mart: in_order(questions.busiest_zones(mart)),
+    "q7_in_order": lambda mart: in_order(questions.top_revenue_zones(mart)),
+    "q8_in_order": lambda mart: in_order(questions.top_routes(mart)),
+    "q10_in_order": lambda mart: in_order(questions.issue_counts(mart)),
+    "q13_in_order": lambda mart: in_order(questions.top_pickup_zones(mart)),
+    "q18_in_order": lambda mart: in_order(questions.zone_revenue_ranking(mart)),
+    "q19_in_order": lambda mart: in_order(questions.zone_ranking_in_borough(mart)),
 }
 
 
@@ -91,4 +141,4 @@ def _query(product: Callable[[DerivedMart], DataFrame]) -> Query:
 
 
 def sample_queries() -> dict[str, Query]:
-    return {name: _query(product) for name, product in PRODUCTS.items()}
+    return {**{name: _query(product) for name, product in PRODUCTS.items()}, "audit_states": audit_states}

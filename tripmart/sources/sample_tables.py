@@ -13,15 +13,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _file_name() -> Column:
+    return F.col("_metadata.file_name").alias("source_file")
+
+
 def sample_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("*", _file_name())
     region = spark.read.parquet(f"{sf_dir}/region.parquet")
     return nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(
         F.col("n_nationkey").alias("LocationID"),
         F.col("r_name").alias("Borough"),
         F.col("n_name").alias("Zone"),
         F.lit(None).cast("string").alias("service_zone"),
-        F.lit("nation.parquet").alias("source_file"),
+        "source_file",
     )
 
 
@@ -53,7 +57,7 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         *_flat_charges(),
         tip.cast("double").alias("tip_amount"),
         (fare + tip).cast("double").alias("total_amount"),
-        F.lit("events.parquet").alias("source_file"),
+        _file_name(),
     )
 
 
