@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,10 @@ RULES = (
 
 
 def broken_rules(trips: DataFrame, keep: list[str]) -> DataFrame:
-    """All rules in one pass: ``keep`` columns plus error_type and description per broken rule."""
+    """All rules in one pass: ``keep`` columns plus error_type and description per broken rule.
+
+    Trips that break none are left out first, by a predicate that also reaches the scan.
+    """
     findings = F.array(
         *[
             F.struct(
@@ -43,7 +47,8 @@ def broken_rules(trips: DataFrame, keep: list[str]) -> DataFrame:
             for rule in RULES
         ]
     )
-    return trips.select(*keep, F.inline(findings)).where("is_broken").drop("is_broken")
+    broken = trips.where(reduce(Column.__or__, [rule.broken() for rule in RULES]))
+    return broken.select(*keep, F.inline(findings)).where("is_broken").drop("is_broken")
 
 
 def valid_measures() -> Column:
