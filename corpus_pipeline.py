@@ -9,8 +9,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tripmart.llm import decontaminate, line_dedup, mixing, quality_rules, simhash
 from tripmart.llm.common import read_table, shared_folder, text_key
@@ -50,10 +51,21 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with the copies the mix takes of it; those of no copies stay, with 0."""
-    plan = mixing.mix(docs).select("row", F.col("key").alias("key_"), "size", "source_size", "target", "copies", "taken")
-    keyed = docs.select(*COLUMNS, text_key(F.col("text")).alias("key_"))
-    same = keyed["doc_id"].eqNullSafe(plan["row"]) & (keyed["key_"] == plan["key_"])
-    return keyed.join(plan, same).select(*COLUMNS, "size", "source_size", "target", "copies", "taken")
+    def same(doc_id: str, key: Column) -> Column:
+        """One value that rows of equal id, text and source share, and no others."""
+        parts = [F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit("")) for name in (doc_id, "source")]
+        return F.sha2(F.concat_ws("\n", parts[0], F.hex(key), parts[1]), 256)
+
+    plan = mixing.mix(docs)
+    # Rows that nothing tells apart may get different copies: they are dealt out by number.
+    planned = plan.groupBy(same("row", F.col("key")).alias("same_")).agg(
+        F.sort_array(F.collect_list("copies")).alias("dealt"),
+        *[F.first(name).alias(name) for name in ("size", "source_size", "target")],
+    )
+    keyed = docs.select(*COLUMNS, same("doc_id", text_key(F.col("text"))).alias("same_"))
+    number = F.row_number().over(Window.partitionBy("same_").orderBy("same_"))
+    joined = keyed.join(planned, "same_").withColumn("copies", F.element_at("dealt", number))
+    return joined.select(*COLUMNS, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 STAGES: list[tuple[str, Stage]] = [
