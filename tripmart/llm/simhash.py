@@ -4,12 +4,14 @@ A fingerprint has one bit per position, set if over half the shingle hashes have
 apart have a 64-bit number within r bits of both, so every distinct fingerprint emits all variants within r bits
 (2,081 for r = 2) and fingerprints that emit one variant are links: at most 2r bits apart, which is verified.
 
-Emission in two steps keeps the shuffle small, as nearly all variants meet no other:
-1. each task sorts the variants of its fingerprints and sends their hashes (48 bits) to `slots` ranges, packed;
-   a range's hashes that come from two fingerprints or more are kept;
-2. only variants with such a hash are emitted as rows, and meet by their full 64 bits.
-Fingerprints of a variant link to the smallest of them, so a group never makes all its pairs. Copies collapse into
-their fingerprint first. Components come from the links by iteration over edge tables.
+Variants are sent packed and in two steps, as nearly all of them meet no other:
+1. fingerprints are taken in batches; the hashes of a batch's variants are sorted, packed and sent to ranges of hashes,
+   and a range tells every batch which of its hashes occur again, in the batch or elsewhere;
+2. only those variants are sent whole, with their fingerprints, to the same ranges, and meet by their full 64 bits.
+A variant has at most 2,081 fingerprints around it (r = 2), so no group of one variant is larger, however many copies
+there are. They link to the smallest of them, never all to all, and a range keeps of its links those that connect
+something, so a fingerprint gives each range one link at most. Copies collapse into their fingerprint first.
+Components come from the links by iteration over edge tables.
 
 Defined results: null and blank texts have no words and fingerprint zero, linked like any other. Fewer words than a
 shingle: the whole sequence is one. Ids may repeat; null ids are never a component's id unless there is no other.
@@ -18,24 +20,26 @@ shingle: the whole sequence is one. Ids may repeat; null ids are never a compone
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import cache
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.bitmap import BitMap
 from tripmart.llm.common import own, shared, text_key
 from tripmart.llm.components import smallest_reachable
 from tripmart.llm.tokens import as_long, mixed
 
 SHINGLE, BITS, SEED = 4, 4, 42
-TOGETHER = 4096  # fingerprints whose variants are sorted together
+BATCH = 4096  # fingerprints whose variants are sorted together
 SLOT_FINGERPRINTS = 2_000  # fingerprints' worth of variants in one range, about
-MAP_BITS = 26
-HASH_BITS = 48
+# Bits of a hash beyond those that number all variants: one variant in 16,000 meets another's hash by chance.
+SPARE_BITS = 14
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -74,105 +78,179 @@ def fingerprints(docs: DataFrame, *, text_column: str = "text", shingle: int = S
     return rows.mapInArrow(run, schema)
 
 
+@cache
 def ball(radius: int) -> np.ndarray:
     """All 64-bit numbers with at most `radius` bits set."""
     masks = [sum(1 << bit for bit in bits) for n in range(radius + 1) for bits in combinations(range(64), n)]
     return np.array(masks, np.uint64)
 
 
-def packed_task(radius: int, slot_bits: int) -> Callable:
-    """(slot, hashes): the variants' hashes of some fingerprints, sorted, as 6-byte steps within a range."""
+def batch_task() -> Callable:
+    """(batch, fingerprints): up to BATCH of them in a row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        masks, left = ball(radius), []
+        number, left = TaskContext.get().partitionId() << 32, np.zeros(0, np.int64)
         for batch in batches:
-            left.append(batch.column(0).to_numpy())
-            while sum(map(len, left)) >= TOGETHER:
-                values = np.concatenate(left)
-                left = [values[TOGETHER:]]
-                yield packed(values[:TOGETHER], masks, slot_bits)
-        values = np.concatenate(left) if left else np.zeros(0, np.int64)
-        if len(values):
-            yield packed(values, masks, slot_bits)
+            left = np.concatenate((left, batch.column(0).to_numpy()))
+            while len(left) >= BATCH:
+                yield batch_row(number, left[:BATCH])
+                number, left = number + 1, left[BATCH:]
+        if len(left):
+            yield batch_row(number, left)
 
     return run
 
 
-def packed(values: np.ndarray, masks: np.ndarray, slot_bits: int) -> pa.RecordBatch:
-    """A hash that two of these fingerprints have is sent twice, so whoever counts sees it as repeated."""
-    hashes = mixed((values.view(np.uint64)[:, None] ^ masks).reshape(-1)) >> np.uint64(64 - HASH_BITS)
-    hashes.sort()
-    slots = (hashes >> np.uint64(HASH_BITS - slot_bits)).astype(np.int64)
-    edges = np.flatnonzero(np.diff(slots, prepend=-1))
-    steps = np.diff(hashes, prepend=np.uint64(0))
-    steps[edges] = hashes[edges] & np.uint64((1 << (HASH_BITS - slot_bits)) - 1)
-    # Four bytes hold nearly every step; a rare larger one is written after a mark that no small step can be.
-    blobs = []
-    for start, end in zip(edges, [*edges[1:], len(hashes)], strict=True):
-        part = steps[start:end]
-        large = part >= np.uint64(0xFFFFFFFF)
-        small = np.where(large, np.uint64(0xFFFFFFFF), part).astype("<u4")
-        planes = small.view(np.uint8).reshape(-1, 4).T
-        blobs.append(int(end - start).to_bytes(4, "little") + planes.tobytes() + part[large].astype("<u8").tobytes())
-    return pa.RecordBatch.from_arrays([pa.array(slots[edges]), pa.array(blobs, pa.binary())], ["slot", "hashes"])
-
-
-def unpacked(blob: bytes, slot: int, slot_bits: int) -> np.ndarray:
-    n = int.from_bytes(blob[:4], "little")
-    small = np.frombuffer(blob, np.uint8, 4 * n, 4).reshape(4, n).T.copy().view("<u4").reshape(-1).astype(np.uint64)
-    large = np.flatnonzero(small == 0xFFFFFFFF)
-    small[large] = np.frombuffer(blob, "<u8", offset=4 + 4 * n)
-    return np.cumsum(small, dtype=np.uint64) + np.uint64(slot << (HASH_BITS - slot_bits))
-
-
-def repeated_task(slot_bits: int) -> Callable:
-    """Of one range, the hashes that come more than once."""
+def batch_row(number: int, values: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([values.tobytes()])], ["batch", "fingerprints"])
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How hashes are packed: their bits, the first of which tell the range, and bytes of a step to the next hash."""
+
+    radius: int
+    hash_bits: int
+    slot_bits: int
+    step_bytes: int
+
+    @classmethod
+    def of(cls, fingerprints: int, radius: int) -> Layout:
+        size = len(ball(radius))
+        hash_bits = min(64, (max(1, fingerprints) * size).bit_length() + SPARE_BITS)
+        slot_bits = max(5, (max(1, fingerprints // SLOT_FINGERPRINTS) - 1).bit_length())
+        batch_bits = (min(max(1, fingerprints), BATCH) * size).bit_length()
+        return cls(radius, hash_bits, slot_bits, max(1, min(8, -(-(hash_bits - batch_bits + 5) // 8))))
+
+    def hashes(self, values: np.ndarray) -> np.ndarray:
+        """Of each variant of each fingerprint, in the order of fingerprints and masks."""
+        masks = ball(self.radius)
+        found = np.empty((len(values), len(masks)), np.uint64)
+        for start in range(0, len(values), 256):
+            some = values[start:start + 256].view(np.uint64)
+            found[start:start + 256] = mixed(some[:, None] ^ masks) >> np.uint64(64 - self.hash_bits)
+        return found.reshape(-1)
+
+    def packed(self, batch: int, values: np.ndarray) -> pa.RecordBatch:
+        hashes = self.hashes(values)
+        hashes.sort()
+        below = self.hash_bits - self.slot_bits
+        edges = np.searchsorted(hashes, np.arange(1 << self.slot_bits, dtype=np.uint64) << np.uint64(below))
+        # A rare step that is too large for its bytes is written whole, after a mark in its place.
+        mark = np.uint64((1 << 8 * self.step_bytes) - 1)
+        slots, blobs = [], []
+        for slot, (start, end) in enumerate(zip(edges, [*edges[1:], len(hashes)], strict=True)):
+            if start == end:
+                continue
+            steps = np.diff(hashes[start:end], prepend=np.uint64(slot << below))
+            large = steps >= mark
+            planes = np.where(large, mark, steps).view(np.uint8).reshape(-1, 8)[:, :self.step_bytes]
+            slots.append(slot)
+            blobs.append(int(end - start).to_bytes(4, "little") + planes.T.tobytes() + steps[large].tobytes())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(slots, pa.int64()), pa.array([batch] * len(slots), pa.int64()), pa.array(blobs, pa.binary())],
+            ["slot", "batch", "hashes"])
+
+    def unpacked(self, blob: bytes, slot: int) -> np.ndarray:
+        n, size = int.from_bytes(blob[:4], "little"), self.step_bytes
+        planes = np.zeros((n, 8), np.uint8)
+        planes[:, :size] = np.frombuffer(blob, np.uint8, size * n, 4).reshape(size, n).T
+        steps = planes.view(np.uint64).reshape(-1)
+        large = np.flatnonzero(steps == (1 << 8 * size) - 1)
+        steps[large] = np.frombuffer(blob, np.uint64, offset=4 + size * n)
+        return np.cumsum(steps, dtype=np.uint64) + np.uint64(slot << (self.hash_bits - self.slot_bits))
+
+
+def packed_task(layout: Layout) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, values in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                yield layout.packed(number, np.frombuffer(values, np.int64))
+
+    return run
+
+
+def repeated_task(layout: Layout) -> Callable:
+    """Of one range: for every batch, those of its hashes that come more than once."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        slot = key[0].as_py()
-        parts = [unpacked(blob.as_py(), slot, slot_bits) for blob in table.column("hashes")]
+        parts = [layout.unpacked(blob.as_py(), key[0].as_py()) for blob in table.column("hashes")]
         hashes = np.concatenate(parts)
         hashes.sort()
         again = np.unique(hashes[1:][hashes[1:] == hashes[:-1]])
-        return pa.table({"hash": (again << np.uint64(64 - HASH_BITS)).view(np.int64)})
+        own = [np.intersect1d(part, again) for part in parts]
+        told = pa.table({"batch": table.column("batch"), "again": pa.array([part.tobytes() for part in own], pa.binary())})
+        return told.filter(pa.array([len(part) > 0 for part in own], pa.bool_()))
 
     return run
 
 
-def variant_task(radius: int, wanted: BitMap) -> Callable:
-    """(variant, fingerprint) of the variants whose hash may be repeated."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        masks = ball(radius)
-        for batch in batches:
-            values = batch.column(0).to_numpy().view(np.uint64)
-            for start in range(0, len(values), TOGETHER):
-                some = values[start:start + TOGETHER]
-                variants = (some[:, None] ^ masks).reshape(-1)
-                kept = wanted.has(mixed(variants) >> np.uint64(64 - HASH_BITS) << np.uint64(64 - HASH_BITS))
-                yield pa.RecordBatch.from_arrays(
-                    [as_long(variants[kept]), as_long(np.repeat(some, len(masks))[kept])], ["variant", "fingerprint"])
+def variant_task(layout: Layout) -> Callable:
+    """(slot, variants, fingerprints): of a batch, the variants whose hash occurs again, packed by range."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out: dict[str, list] = {"slot": [], "variants": [], "fingerprints": []}
+        again = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(x.as_py(), np.uint64) for x in right.column("again")]])
+        again.sort()
+        for blob in left.column("fingerprints") if len(again) else ():
+            values = np.frombuffer(blob.as_py(), np.int64)
+            hashes = layout.hashes(values)
+            kept = np.flatnonzero(again[np.searchsorted(again, hashes).clip(0, len(again) - 1)] == hashes)
+            kept = kept[np.argsort(hashes[kept])]
+            masks = ball(layout.radius).view(np.int64)
+            of = values[kept // len(masks)]
+            variants = of ^ masks[kept % len(masks)]
+            slots = (hashes[kept] >> np.uint64(layout.hash_bits - layout.slot_bits)).astype(np.int64)
+            edges = np.flatnonzero(np.diff(slots, prepend=-1))
+            for start, end in zip(edges, [*edges[1:], len(slots)], strict=True):
+                out["slot"].append(int(slots[start]))
+                out["variants"].append(variants[start:end].tobytes())
+                out["fingerprints"].append(of[start:end].tobytes())
+        return pa.table(out, pa.schema([("slot", pa.int64()), ("variants", pa.binary()), ("fingerprints", pa.binary())]))
+
+    return run
+
+
+def link_task(bits: int) -> Callable:
+    """Of one range: links that connect all fingerprints that share a variant, no more than it takes."""
+    def run(table: pa.Table) -> pa.Table:
+        variants, of = (np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column(name)])
+                        for name in ("variants", "fingerprints"))
+        order = np.lexsort((of, variants))
+        variants, of = variants[order], of[order]
+        low = of[np.searchsorted(variants, variants, "left")]
+        near = np.bitwise_count((of ^ low).view(np.uint64)) <= bits
+        links = np.unique(np.stack((of, low), axis=1)[near & (of != low)], axis=0)
+        root: dict[int, int] = {}
+
+        def find(node: int) -> int:
+            while (up := root.get(node, node)) != node:
+                root[node] = root.get(up, up)
+                node = up
+            return node
+
+        kept = []
+        for a, b in links.tolist():
+            x, y = find(a), find(b)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                kept.append((a, b))
+        return pa.table({"a": pa.array([a for a, _ in kept], pa.int64()), "b": pa.array([b for _, b in kept], pa.int64())})
 
     return run
 
 
 def fingerprint_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
     """(a, b): links between distinct fingerprints; each is at most `bits` bits long, and they connect every two
-    fingerprints that are at most `bits` bits apart, through one smallest of those that share a variant."""
+    fingerprints that are at most `bits` bits apart, if through others."""
     if bits % 2:
         raise ValueError("the maximum distance must be even: half of it is each side's radius")
-    radius = bits // 2
     n = distinct.count()
-    slot_bits = max(6, (max(1, n // SLOT_FINGERPRINTS) - 1).bit_length())
-    ranges = distinct.mapInArrow(packed_task(radius, slot_bits), "slot bigint, hashes binary")
-    repeated = shared(ranges.groupBy("slot").applyInArrow(repeated_task(slot_bits), "hash bigint"))
-    wanted = BitMap.of(repeated, "hash", MAP_BITS)
-    variants = distinct.mapInArrow(variant_task(radius, wanted), "variant bigint, fingerprint bigint")
-    return (
-        variants.groupBy("variant").agg(F.min("fingerprint").alias("low"), F.max("fingerprint").alias("high"))
-        .where("low < high").select("variant", "low")
-        .join(variants, "variant")
-        .where((F.col("fingerprint") > F.col("low"))
-               & (F.bit_count(F.col("low").bitwiseXOR(F.col("fingerprint"))) <= bits))
-        .select(F.col("fingerprint").alias("a"), F.col("low").alias("b")).distinct()
-    )
+    layout = Layout.of(n, bits // 2)
+    # Few bytes, but much work: not merged into few tasks.
+    batches = shared(distinct.mapInArrow(batch_task(), "batch bigint, fingerprints binary").repartition(max(1, n // BATCH)))
+    ranges = batches.mapInArrow(packed_task(layout), "slot bigint, batch bigint, hashes binary")
+    repeated = ranges.groupBy("slot").applyInArrow(repeated_task(layout), "batch bigint, again binary")
+    meeting = batches.groupBy("batch").cogroup(repeated.groupBy("batch")).applyInArrow(
+        variant_task(layout), "slot bigint, variants binary, fingerprints binary")
+    return meeting.groupBy("slot").applyInArrow(link_task(bits), "a bigint, b bigint").distinct()
 
 
 def near_duplicates(
