@@ -20,6 +20,7 @@ from pyspark.sql.window import Window
 from tripmart.llm.common import shared
 
 FAN_BITS = 6
+SUMMED = ("n_records", "n_bytes", "part0", "part1", "part2", "part3")
 
 
 def leaves(records: DataFrame, id_column: str, content: list[str]) -> DataFrame:
@@ -39,19 +40,19 @@ def leaves(records: DataFrame, id_column: str, content: list[str]) -> DataFrame:
         .select(
             F.coalesce("node", F.lit(0)).alias("node"), F.col("node").isNull().alias("is_null"),
             "n_records", "n_bytes",
-            F.sha2(F.concat_ws(",", *[F.col(name).cast("string") for name in ("n_records", "n_bytes", "part0", "part1", "part2", "part3")]), 256).alias("hash"),
+            F.sha2(F.concat_ws(",", *[F.col(name).cast("string") for name in SUMMED]), 256).alias("hash"),
         )
     )
 
 
 def parents(nodes: DataFrame) -> DataFrame:
     ordered = F.array_sort(F.collect_list(F.struct("node", "hash")))
+    child = lambda one: F.concat_ws(":", one["node"].cast("string"), one["hash"])
     return (
         nodes.groupBy(F.shiftright("node", FAN_BITS).alias("node"), "is_null")
         .agg(F.sum("n_records").alias("n_records"), F.sum("n_bytes").alias("n_bytes"), ordered.alias("children"))
         .select("node", "is_null", "n_records", "n_bytes",
-                F.sha2(F.concat_ws(",", F.transform("children", lambda one: F.concat_ws(":", one["node"].cast("string"), one["hash"]))),
-                       256).alias("hash"))
+                F.sha2(F.concat_ws(",", F.transform("children", child)), 256).alias("hash"))
     )
 
 

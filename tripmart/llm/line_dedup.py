@@ -8,7 +8,8 @@ return to their documents by a join that adaptive execution splits.
 
 Defined results: lines end at "\\n" only. A text of fewer lines than `width`, empty or null, has no window and stays as
 it is. Null ids order first. Rows repeated with the same id and text count as one occurrence, so they are treated
-alike. A text all of whose lines go becomes empty; the row stays. Columns of the input are kept, whatever their names.
+alike. A text all of whose lines go becomes empty; the row stays. Columns of the input are kept,
+but for n_lines and n_removed, which are replaced.
 """
 
 from __future__ import annotations
