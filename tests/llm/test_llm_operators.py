@@ -209,7 +209,6 @@ def test_long_texts_come_in_pieces(spark, monkeypatch):
         whole = suffix_dedup.samples(data, np.array([0, len(data)]), length)[1:]
         import pyarrow as pa
         column, starts = pa.array([data.tobytes().decode()]), set()
-        monkeypatch.setattr("tripmart.llm.tokens.TOGETHER", 5000)
         for _, part, offsets, base in suffix_dedup.pieces(column, length):
             sample, first, last = suffix_dedup.samples(part, offsets, length)[1:]
             starts |= {(s + base, p + base) for s, a, b in zip(sample, first, last, strict=True) for p in range(a, b + 1)}

@@ -47,7 +47,7 @@ LOW = np.uint64(0xFFFFFFFF)
 def pieces(column: pa.Array, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """(first row, bytes, offsets, bytes of that row before them). A long text comes in pieces that overlap by
     length - 1 bytes, so that each string start is in one piece only."""
-    for start, _, data, offsets in text_parts(column):
+    for start, _, data, offsets in text_parts(column, PIECE):
         if len(offsets) > 2 or len(data) <= PIECE:
             yield start, data, offsets, 0
             continue
@@ -159,7 +159,7 @@ def level_task(length: int, step: int) -> Callable:
     """Tuples of `step` offsets each, from rows (key, at, low, high, n, bytes, base: offset where bytes begin)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end, data, offsets in text_parts(batch.column(5)):
+            for start, end, data, offsets in text_parts(batch.column(5), PIECE):
                 low, high, base = (batch.column(k).slice(start, end - start).to_numpy().astype(np.int64) for k in (2, 3, 6))
                 names = Names(data)
                 block_first, blocks = low // step, high // step - low // step + 1

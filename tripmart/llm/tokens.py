@@ -58,8 +58,9 @@ def spaced_bytes() -> np.ndarray:
     return table
 
 
-def text_parts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_parts(column: pa.Array, together: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets into them) for runs of texts; null counts as empty."""
+    together = TOGETHER if together is None else together
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
@@ -70,7 +71,7 @@ def text_parts(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
     data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
     row = 0
     while row < len(column):
-        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + TOGETHER, "right")) - 1)
+        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + together, "right")) - 1)
         yield row, end, data[offsets[row]:offsets[end]], offsets[row:end + 1] - offsets[row]
         row = end
 
