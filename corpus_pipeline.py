@@ -1,7 +1,8 @@
 """A corpus from raw documents in five stages, each written as Parquet and read again by the next.
 
 Every stage works on what its predecessor kept, and keeps the columns of `documents` but for the last, which adds what
-the mix takes of each document. Documents whose text changes get a new n_chars.
+the mix takes of each document. Documents whose text changes get a new n_chars. `run` gives that plan of the mix, one row
+per document; `corpus` carries it out and is what the query `pipeline` returns.
 """
 
 from __future__ import annotations
@@ -84,3 +85,14 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
     return docs
+
+
+def mixed(planned: DataFrame) -> DataFrame:
+    """The rows of the corpus: each document as often as the mix takes it (copy: 1 to copies), those of no copies not."""
+    copy = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
+    return planned.where(F.col("copies") > 0).select(*COLUMNS, "size", "source_size", "target", "copies", copy)
+
+
+def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixed corpus: the words of each source add up to its target."""
+    return mixed(run(spark, sf_dir))

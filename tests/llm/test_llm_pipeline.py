@@ -1,7 +1,9 @@
 """Every stage of the pipeline on awkward rows: nulls in any column, empty and long texts, repeated rows, columns of
 clashing names, and empty tables."""
 
+import random
 import sys
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -12,6 +14,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import plain  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
+from tripmart.llm.queries import llm_queries  # noqa: E402
 
 PROSE = "the quick fox saw a dog near the river and then it went home to sleep for a while under some old trees"
 OTHER = " ".join(f"other{k}" for k in range(60))
@@ -72,3 +75,33 @@ def test_run_over_awkward_rows_and_over_none(spark, folder, tmp_path):
         rows = corpus_pipeline.run(spark, str(place)).collect()
         assert bool(rows) == (name == "some")
         assert 106 not in [r["doc_id"] for r in rows]
+
+
+def test_corpus_holds_what_the_mix_takes(spark, folder, tmp_path):
+    picks = random.Random(12)
+    texts = ["".join(picks.choice("abcdefgh") + " " for _ in range(picks.randint(1, 60))) for _ in range(400)] + [None, ""]
+    docs = plain.documents(spark, texts, ["a", "b", "b", "b", "b", None])
+    planned = corpus_pipeline.mixture(spark, docs, folder)
+    planned.write.parquet(f"{tmp_path}/mixture")
+    planned = spark.read.parquet(f"{tmp_path}/mixture")
+    copies = {r["doc_id"]: r["copies"] for r in planned.collect()}
+    rows = corpus_pipeline.mixed(planned).collect()
+    assert 0 in copies.values() and max(copies.values()) > 1
+    assert Counter(r["doc_id"] for r in rows) == Counter({doc: n for doc, n in copies.items() if n})
+    assert all(r["text"] == texts[r["doc_id"]] for r in rows)
+    words, target = Counter(), {}
+    for r in rows:
+        words[r["source"]] += len((r["text"] or "").split())
+        target[r["source"]] = r["target"]
+    assert set(target) == {"a", "b", None}
+    assert all(abs(words[source] - target[source]) <= 1 for source in target)
+
+
+def test_pipeline_query_returns_the_mixed_corpus(spark):
+    small = "/root/testdata/sf0.001"
+    planned = corpus_pipeline.run(spark, small).collect()
+    rows = llm_queries()["pipeline"](spark, small).collect()
+    assert any(r["copies"] == 0 for r in planned) and any(r["copies"] > 1 for r in planned)
+    assert Counter(r["doc_id"] for r in rows) == Counter({r["doc_id"]: r["copies"] for r in planned if r["copies"]})
+    for source, target in {(r["source"], r["target"]) for r in planned}:
+        assert abs(sum(r["size"] for r in rows if r["source"] == source) - target) <= 0.01 * target

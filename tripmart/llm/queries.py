@@ -105,7 +105,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # at the top of the repository; it imports this module
 
-    return corpus_pipeline.run(spark, sf_dir)
+    return corpus_pipeline.corpus(spark, sf_dir)
 
 
 def llm_queries() -> dict[str, Query]:
