@@ -2,6 +2,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import AnalysisException, ArithmeticException, NumberFormatException
+from pyspark.sql import functions as F
 from samples import RUN_AT, source_trips
 
 from tripmart.schemas import RAW_TRIPS, RAW_ZONES
@@ -100,3 +101,21 @@ def test_files_with_other_types_and_cases_load_together(spark, tmp_path):
     assert [(r["passenger_count"], float(r["airport_fee"]), r["pulocation_id"]) for r in rows] == [(None, 0.0, 1), (3.0, 1.25, 1)]
     alike = bronze_trips(read_trip_files(spark, paths[0], one_schema=True), RUN_AT)
     assert alike.columns == RAW_TRIPS.column_names and alike.count() == 1
+
+
+@pytest.mark.parametrize("names", [("2024-01.parquet", "2024-02.pq", "2024-03.PQ.zstd"), ("1.pq", "2.pq", "3.pq")])
+def test_files_of_any_name_load_from_a_mixed_schema(spark, tmp_path, names):
+    whole = source_trips(spark, {"fare_amount": 1.0})
+    other = source_trips(spark, {"fare_amount": 2.0}).withColumn("PULocationID", F.col("PULocationID").cast("bigint"))
+    short = source_trips(spark, {"fare_amount": 3.0}).drop("cbd_congestion_fee")
+    (tmp_path / "trips").mkdir()
+    for k, (name, frame) in enumerate(zip(names, (whole, other, short), strict=True)):
+        frame.coalesce(1).write.parquet(str(tmp_path / str(k)))
+        part = next((tmp_path / str(k)).glob("part-*"))
+        for to in (name, f"_{name}", f".{name}"):  # those that Spark hides are not read
+            (tmp_path / "trips" / to).write_bytes(part.read_bytes())
+    folder = str(tmp_path / "trips")
+    with pytest.raises(ValueError, match=f"/{names[2]} has no column cbd_congestion_fee"):
+        read_trip_files(spark, folder)
+    rows = bronze_trips(read_trip_files(spark, folder, missing_as_null=("cbd_congestion_fee",)), RUN_AT).collect()
+    assert sorted(float(r["fare_amount"]) for r in rows) == [1.0, 2.0, 3.0]

@@ -75,10 +75,9 @@ def _schema_groups(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame:
                     {"file": path, "columns": [name for name, _ in found], "kinds": [kind for _, kind in found]}
                 ], pa.schema([("file", pa.string()), ("columns", pa.list_(pa.string())), ("kinds", pa.list_(pa.string()))]))
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*").load(list(paths)).select("path")
-    named = files.where(F.lower("path").endswith(".parquet") | F.lower("path").endswith(".parq")
-                        | ~F.element_at(F.split("path", "/"), -1).contains("."))
-    read = named.mapInArrow(footers, "file string, columns array<string>, kinds array<string>")
+    # Spark's own listing: whatever its Parquet reader reads, and so no names that start with _ or a dot.
+    files = spark.read.format("binaryFile").load(list(paths)).select("path")
+    read = files.mapInArrow(footers, "file string, columns array<string>, kinds array<string>")
     return read.groupBy("columns", "kinds").agg(F.array_sort(F.collect_list("file")).alias("files")).orderBy("files")
 
 
