@@ -7,6 +7,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -215,6 +216,24 @@ def test_long_texts_come_in_pieces(spark, monkeypatch):
         assert starts == {(s, p) for s, a, b in zip(*whole, strict=True) for p in range(a, b + 1)}
 
 
+def test_repeats_in_texts_of_several_pieces(spark, monkeypatch):
+    picks = random.Random(13)
+    prose = lambda n: "".join(picks.choice("abcdé \n") for _ in range(n))
+    passage = prose(900)
+    long = prose(9000)
+    edited = list(long)
+    for at in range(500, 9000, 700):
+        edited[at] = "#"
+    texts = [long, "".join(edited), prose(4000) + passage + prose(3000), prose(1300) + passage[100:700], prose(7000),
+             "q" + long[1500:6000] + prose(2500), "short", None]
+    monkeypatch.setattr(suffix_dedup, "PIECE", 2000)
+    cloudpickle.register_pickle_by_value(suffix_dedup)  # else workers import the module with its own PIECE
+    try:
+        assert cut(spark, texts) == plain.repeated_bytes(texts, 400)
+    finally:
+        cloudpickle.unregister_pickle_by_value(suffix_dedup)
+
+
 def test_nothing_to_cut(spark):
     assert cut(spark, []) == []
     assert cut(spark, [None, "", "a"]) == [(0, 0, b""), (0, 0, b""), (1, 0, b"a")]

@@ -233,9 +233,11 @@ def repeated_spans(docs: DataFrame, text_column: str, length: int) -> DataFrame:
     found.append(spans_of(blocks.where(ones).join(repeats, names, "left_semi"), length))
 
     still = mixed_tuples(named_blocks).withColumnRenamed("n", "times")
+    # A sample whose strings start on both sides of a cut between pieces has a context for each side.
+    within = F.col("low").between(F.col("least"), F.col("base")) & (F.col("high") <= F.col("base"))
     narrowed = still.join(
-        contexts.select("key", "at", F.col("high").alias("base"), "bytes"), ["key", "at"]
-    ).select("key", "at", "low", "high", F.col("times").alias("n"), "bytes", "base")
+        contexts.select("key", "at", F.col("low").alias("least"), F.col("high").alias("base"), "bytes"), ["key", "at"]
+    ).where(within).select("key", "at", "low", "high", F.col("times").alias("n"), "bytes", "base")
     strings = level(narrowed, length, 1)
     repeats = named_tuples(strings, F.col("n")).where(F.col("n") > 1).select(*names)
     found.append(spans_of(strings.where(ones).join(repeats, names, "left_semi"), length))
