@@ -1,14 +1,13 @@
-"""Removal of long repeated byte strings, by induced sorting of sampled suffixes.
+"""Removal of long repeated byte strings, by hash names at anchors that the content chooses.
 
-Sorting every suffix of a corpus takes many times its size on disk. As in induced sorting, only sampled suffixes are
-sorted and the rest follow from them: a suffix is sampled where a 16-byte hash is the smallest (leftmost) among 256
-neighbours, about one position in 128. Where a sample falls depends on the bytes around it alone, so equal strings of
-`length` bytes have their samples at equal offsets, and every string start belongs to exactly one sample (it is
-`offset` bytes before it).
+This stands in place of induced sorting of suffixes: nothing is sorted as a suffix and no order is induced, as repeats
+are asked for and not their order. A position is an anchor (a sample) where a 16-byte hash is the smallest (leftmost)
+among 256 neighbours, about one position in 128. Where a sample falls depends on the bytes around it alone, so equal
+strings of `length` bytes have their samples at equal offsets, and every string start belongs to exactly one sample (it
+is `offset` bytes before it).
 
-Sorting is Spark's external sort and aggregation: tuples spill to disk in every task, and no task holds a shard.
-Tuples carry names (hashes) instead of bytes, the way induced sorting names substrings, and the name of their common
-prefix:
+Tuples are counted by Spark's aggregations, which spill to disk in every task; no task holds a shard. Tuples carry names
+(hashes) instead of bytes, and the name of their common prefix:
 
   level 0    offsets of a sample together   common prefix: the bytes all strings of the sample share
   level 1    16 offsets                     ″
