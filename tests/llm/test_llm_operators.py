@@ -6,6 +6,7 @@ import sys
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
@@ -323,6 +324,16 @@ def test_base_rates_are_tilted_together(spark):
         assert high == pytest.approx(min(3, 4 * low))
 
 
+def test_whole_rates_get_no_further_copy(spark):
+    docs = plain.documents(spark, ["w " * (k % 50 + 1) for k in range(2000)], ["a", "b", "c"])
+    rows = mixing.mix(docs, base=F.when(F.col("doc_id") % 2 == 0, 4.0).otherwise(1.0)).collect()
+    assert any(r["rate"] == mixing.MOST for r in rows)
+    assert all(r["copies"] <= mixing.MOST for r in rows)
+    # What the size of 20 leaves owed would pay for two more of 9, whose rate is met.
+    classes = pd.DataFrame({"source": "a", "size": [20, 9, 2], "n": [1, 3, 20], "rate": [0.9, 3.0, 0.5]})
+    assert list(mixing.further_copies(classes)["given"]) == [0, 0, 19]
+
+
 # Top-k
 
 def test_top_k_like_numpy(spark):

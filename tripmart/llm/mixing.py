@@ -7,7 +7,7 @@ size, base and source are one row of it.
 
 Rates are rounded into whole copies. Every document gets floor(rate) copies; what is missing to the target is given to
 sizes from the largest down, each taking as many further copies as the tokens owed so far pay for, so the error left
-is about the smallest document. Which documents of a size get one is decided by a hash, ranked within hash buckets:
+is about the smallest document. Documents of a whole rate get no further copy. Which documents of a size get one is decided by a hash, ranked within hash buckets:
 many equal documents are never sorted together.
 
 Defined results: null source is a source of its own and comes last. Null text has size 0 and takes nothing. Sources
@@ -107,7 +107,7 @@ def further_copies(rows: pd.DataFrame) -> pd.DataFrame:
     owed, given = 0.0, []
     for size, n, rate in zip(rows["size"], rows["n"], rows["rate"], strict=True):
         owed += (rate - math.floor(rate)) * size * n
-        count = min(int(n), int(owed // size)) if size else 0
+        count = min(int(n), int(owed // size)) if size and rate > math.floor(rate) else 0
         owed -= count * size
         given.append(count)
     rows["given"] = given
