@@ -117,3 +117,28 @@ def log_scores(texts, order=2, backoff=0.4, min_count=2):
         return log(backoff) + score(gram[1:])
 
     return [(len(t), sum(score(tuple(t[max(0, k - order + 1):k + 1])) for k in range(len(t)))) for t in tokens]
+
+
+def collocations(docs, min_count=10, top=2000, percent=50):
+    """docs: (lang, text). Rows (lang, rank, phrase, a, l, r, n, score)."""
+    count, sizes = Counter(), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0a-\x0d]", lower_ascii(text or "")):
+            found = re.findall("[^ \t]+", piece)
+            sizes[lang] += len(found)
+            for size in (1, 2, 3):
+                count.update((lang, tuple(found[k:k + size])) for k in range(len(found) - size + 1))
+    scored = defaultdict(list)
+    longer = Counter()
+    for (lang, p), a in count.items():
+        if len(p) == 3 and a >= min_count:
+            for part in (p[:2], p[1:]):
+                longer[lang, part] = max(longer[lang, part], a)
+    for (lang, p), a in count.items():
+        if len(p) > 1 and a >= min_count and not (len(p) == 2 and 100 * longer[lang, p] >= percent * a and longer[lang, p]):
+            cuts = [(count[lang, p[:k]], count[lang, p[k:]]) for k in range(1, len(p))]
+            score, _, l, r = min((10**6 * a * a // (l * r), k, l, r) for k, (l, r) in enumerate(cuts))
+            scored[lang].append((-score, -a, " ".join(p).encode(), l, r))
+    return [(lang, rank, p.decode(), -a, l, r, sizes[lang], -s)
+            for lang, some in scored.items() for rank, (s, a, p, l, r) in enumerate(sorted(some)[:top], 1)]

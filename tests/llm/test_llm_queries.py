@@ -43,7 +43,7 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_every_number_has_a_query():
     names = list(llm_queries())
-    assert [name.split("_")[0] for name in names] == [f"op{n}" for n in range(1, 11)] + ["pipeline"]
+    assert [name.split("_")[0] for name in names] == [f"op{n}" for n in range(1, 14)] + ["pipeline"]
 
 
 def texts(spark, sf_dir=SF_DIR):

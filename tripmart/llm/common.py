@@ -31,10 +31,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors and the driver see: what spark.checkpoint.dir names, one of our own only if unset."""
+    """The folder all executors and the driver see: what spark.checkpoint.dir names. One of our own only where it is
+    unset and all of Spark runs in one process; on a cluster, executors would not see that."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tripmart-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not (context.master == "local" or context.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tripmart-"))
     return context.getCheckpointDir()
 
 
@@ -44,3 +48,10 @@ def shared(frame: DataFrame) -> DataFrame:
     (spark.cleaner.referenceTracking.cleanCheckpoints)."""
     shared_folder(frame.sparkSession)
     return frame.checkpoint()
+
+
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """The same as a compressed Parquet table of that name, for large frames; it stays until the folder is cleared."""
+    path = f"{shared_folder(frame.sparkSession)}/{name}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

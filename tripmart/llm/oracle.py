@@ -125,8 +125,65 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, round(s, 6) AS mean_log_score FROM do
 """
 
 
+COLLOCATIONS = rf"""
+WITH pieces AS (
+    SELECT row_number() OVER () AS piece, * FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER.format("text")}, '[.,;:!?\x0A-\x0D]')) AS line
+        FROM documents)
+), words AS (
+    SELECT piece, lang, unnest(ws) AS w, unnest(range(len(ws))) AS i
+    FROM (SELECT piece, lang, regexp_extract_all(line, '[^\x20\x09]+') AS ws FROM pieces)
+), runs AS (
+    SELECT lang, w AS a, lead(w) OVER following AS b, lead(w, 2) OVER following AS c FROM words
+    WINDOW following AS (PARTITION BY piece ORDER BY i)
+), ones AS (SELECT lang, a AS p, count(*) AS n FROM runs GROUP BY ALL
+), twos AS (SELECT lang, a, b, a || ' ' || b AS p, count(*) AS n FROM runs WHERE b IS NOT NULL GROUP BY ALL
+), threes AS (
+    SELECT lang, a, b, c, a || ' ' || b AS ab, b || ' ' || c AS bc, ab || ' ' || c AS p, count(*) AS n
+    FROM runs WHERE c IS NOT NULL GROUP BY ALL HAVING n >= 10
+), sizes AS (SELECT lang, sum(n)::BIGINT AS n FROM ones GROUP BY lang
+), longer AS (
+    SELECT lang, p, max(n) AS n FROM (SELECT lang, ab AS p, n FROM threes UNION ALL SELECT lang, bc, n FROM threes) GROUP BY ALL
+), cuts AS (
+    SELECT twos.lang, twos.p, twos.n AS a, 1 AS k, x.n AS l, y.n AS r FROM twos
+    JOIN ones x ON x.lang = twos.lang AND x.p = a JOIN ones y ON y.lang = twos.lang AND y.p = b
+    LEFT JOIN longer ON longer.lang = twos.lang AND longer.p = twos.p
+    WHERE twos.n >= 10 AND 100 * coalesce(longer.n, 0) < 50 * twos.n
+    UNION ALL SELECT t.lang, t.p, t.n, 1, x.n, y.n FROM threes t
+    JOIN ones x ON x.lang = t.lang AND x.p = t.a JOIN twos y ON y.lang = t.lang AND y.p = t.bc
+    UNION ALL SELECT t.lang, t.p, t.n, 2, x.n, y.n FROM threes t
+    JOIN twos x ON x.lang = t.lang AND x.p = t.ab JOIN ones y ON y.lang = t.lang AND y.p = t.c
+), scored AS (SELECT *, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM cuts
+), lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank, p AS phrase, a, l, r, sizes.n, score
+FROM lowest JOIN sizes USING (lang) QUALIFY rank <= 2000
+"""
+
+HARD_NEGATIVES = """
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+    FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op1_url_filter": URLS, "op2_line_dedup": LINES, "op4_decontaminate": CONTAMINATION, "op5_warc_fixity": FIXITY,
-        "op9_topk": TOP_K, "op10_lm_score": LANGUAGE_MODEL,
+        "op9_topk": TOP_K, "op10_lm_score": LANGUAGE_MODEL, "op11_collocations": COLLOCATIONS,
+        "op13_hard_negatives": HARD_NEGATIVES,
     }

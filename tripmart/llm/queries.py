@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import (
-    decontaminate, fixity, line_dedup, lm_score, mixing, quality_rules, simhash, suffix_dedup, topk, url_filter,
+    collocations, decontaminate, fixity, hard_negatives, line_dedup, lm_score, mixing, packing, quality_rules, simhash, suffix_dedup, topk, url_filter,
 )
 from tripmart.llm.common import read_table, shared
 
@@ -102,6 +102,24 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(F.col("row").alias("doc_id"), "n_words", F.round("mean_log_score", 6).alias("mean_log_score"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(read_table(spark, sf_dir, "documents"))
+    return found.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    packed = packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select(F.col("row").alias("doc_id"), "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "sequence_id", "offset")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=noisy)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # at the top of the repository; it imports this module
 
@@ -110,5 +128,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     numbered = (op1_url_filter, op2_line_dedup, op3_quality, op4_decontaminate, op5_warc_fixity, op6_suffix_dedup,
-                op7_simhash, op8_mixing, op9_topk, op10_lm_score)
+                op7_simhash, op8_mixing, op9_topk, op10_lm_score, op11_collocations, op12_packing, op13_hard_negatives)
     return {query.__name__: query for query in numbered} | {"pipeline": pipeline}
