@@ -158,7 +158,7 @@ def stripe_task(buckets: int, hot: np.ndarray, parts: np.ndarray) -> Callable:
             order = np.argsort(bucket, kind="stable")
             columns, bucket = [column[order] for column in columns], bucket[order]
             edges = np.flatnonzero(np.diff(bucket, prepend=-1))
-            for start, end in zip(edges.tolist(), [*edges[1:].tolist(), len(bucket)], strict=True):
+            for start, end in zip(edges.tolist(), [*edges[1:].tolist(), len(bucket)], strict=False):
                 yield pa.RecordBatch.from_pylist([packed(int(bucket[start]), words, [c[start:end] for c in columns])],
                                                  schema=packed_schema())
 

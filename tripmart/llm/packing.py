@@ -4,8 +4,9 @@ Texts are tokenised once and stored as pieces; only lengths are packed. A piece
 its own. All others are dealt by hash to groups of bounded size, and each group is packed in one task: pieces come
 from the longest down, and each goes where the sum over all gaps of the squared number of open sequences with that gap
 becomes smallest. A new sequence is opened only where no open one has room. Pieces of sequences that a group leaves
-with a gap go to the next round, a small part of the round before, until one group holds all that is left; so sequences
-lost to grouping do not add up with the table. Sequence ids name round, group and place, so reruns agree.
+with a gap go to the next round, until one group holds all that is left, so sequences lost to grouping do not add up
+with the table. A round that leaves over half of its pieces so is the last one: such lengths gain nothing from being
+dealt again. Sequence ids name round, group and place, so reruns agree.
 
 Defined results: null and empty texts are the closing id alone. Repeated rows and ids are pieces of their own. Texts of
 any length are cut into whole pieces, the first one shorter. An empty table gives no pieces. Only the two columns named
@@ -126,33 +127,37 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
     return sequence, offset, np.array(gaps, np.int64)[sequence]
 
 
-def group_task(capacity: int, last: bool) -> Callable:
-    """(key, length, sequence, place, settled): a sequence with a gap is settled in the last round only."""
+def group_task(capacity: int) -> Callable:
+    """(key, length, group, sequence, place, full)."""
     def run(table: pa.Table) -> pa.Table:
         keys, lengths = table.column("key").to_numpy(), table.column("length").to_numpy()
         order = np.lexsort((keys, -lengths))
         sequence, place, gap = sum_of_squares(lengths[order], capacity)
         return pa.table({"key": keys[order], "length": lengths[order], "group": table.column("group"),
-                         "sequence": sequence, "place": place, "settled": (gap == 0) | last})
+                         "sequence": sequence, "place": place, "full": gap == 0})
 
     return run
 
 
 def placed(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """(key, sequence_id, offset) of pieces (key, length) shorter than the capacity."""
-    done, left, number = [], pieces.where(F.col("length") < capacity).select("key", "length"), 0
+    done, number = [], 0
+    left = pieces.where(F.col("length") < capacity).select("key", "length")
+    n_left = left.count()
     while True:
-        groups = max(1, -(-left.count() // group_pieces))
+        groups = max(1, -(-n_left // group_pieces))
         dealt = left.withColumn("group", F.pmod(F.xxhash64("key", F.lit(number)), F.lit(groups)))
         packed = shared(dealt.groupBy("group").applyInArrow(
-            group_task(capacity, groups == 1),
-            "key bigint, length bigint, group bigint, sequence bigint, place bigint, settled boolean"))
+            group_task(capacity), "key bigint, length bigint, group bigint, sequence bigint, place bigint, full boolean"))
         # 8 bits of rounds, 31 of groups, 24 of sequences.
         name = (F.lit(number << 55) + F.col("group") * (1 << 24) + F.col("sequence")).alias("sequence_id")
-        done.append(packed.where("settled").select("key", name, F.col("place").alias("offset")))
-        if groups == 1:
+        before, left = n_left, packed.where("NOT full").select("key", "length")
+        n_left = left.count()
+        last = groups == 1 or 2 * n_left > before
+        done.append((packed if last else packed.where("full")).select("key", name, F.col("place").alias("offset")))
+        if last:
             break
-        left, number = packed.where("NOT settled").select("key", "length"), number + 1
+        number += 1
     together = done[0]
     for more in done[1:]:
         together = together.unionByName(more)
