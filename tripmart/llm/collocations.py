@@ -39,7 +39,7 @@ from tripmart.llm.tokens import mixed, text_parts
 
 MIN_COUNT, TOP, SUBSUMED_PERCENT, SCALE, UNKNOWN = 10, 2000, 50, 1_000_000, "und"
 # Bytes of text whose stripes are built together, and words per bucket.
-TOGETHER, BUCKET_WORDS, HOT = 16 << 20, 1 << 21, 1 << 14
+TOGETHER, BUCKET_WORDS, HOT = 4 << 20, 1 << 20, 1 << 14
 
 # What separates words within a piece, and what ends a piece.
 BLANKS, BREAKS = b" \t", b".,;:!?\n\v\f\r"
@@ -73,7 +73,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, langs: list[str]) -> tuple[l
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     bounds = np.concatenate(([0], np.cumsum(ends - starts))).astype(np.int64)
     text = np.searchsorted(offsets, starts, "right") - 1
-    piece = np.cumsum(kinds == 2)[starts] + text if len(starts) else text
+    piece = np.searchsorted(np.flatnonzero(kinds == 2), starts) + text
     found = pa.Array.from_buffers(pa.large_binary(), len(starts), [
         None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(lowered()[data[inside]]))]).dictionary_encode()
     names = sorted(set(langs))
