@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from samples import RUN_AT, source_trips
 
 from tripmart.schemas import RAW_TRIPS, RAW_ZONES
-from tripmart.sources import bronze_trips, bronze_zones, read_trip_files, read_zone_files
+from tripmart.sinks import write_csv_files
+from tripmart.sources import MalformedRow, bronze_trips, bronze_zones, read_csv_files, read_trip_files, read_zone_files
 
 
 def write_csv(directory, text):
@@ -119,3 +120,55 @@ def test_files_of_any_name_load_from_a_mixed_schema(spark, tmp_path, names):
         read_trip_files(spark, folder)
     rows = bronze_trips(read_trip_files(spark, folder, missing_as_null=("cbd_congestion_fee",)), RUN_AT).collect()
     assert sorted(float(r["fare_amount"]) for r in rows) == [1.0, 2.0, 3.0]
+
+
+HEADER = "LocationID,Borough,Zone,service_zone\n"
+
+
+def zone_rows(spark, directory, text):
+    read = read_zone_files(spark, write_csv(directory, HEADER + text))
+    return [tuple(row)[:4] for row in read.collect()]
+
+
+def test_quoted_cells_hold_line_breaks_commas_and_quotes(spark, tmp_path):
+    text = '1,Q,"two\nlines",x\n2,B,"a, b","say ""so"""\n3,"","\n\n",\n4,N/A," kept ",z'
+    assert zone_rows(spark, tmp_path, text) == [
+        ("1", "Q", "two\nlines", "x"), ("2", "B", "a, b", 'say "so"'), ("3", None, "\n\n", None), ("4", "N/A", " kept ", "z"),
+    ]
+
+
+def test_lines_may_end_as_in_dos(spark, tmp_path):
+    path = tmp_path / "zones.csv"
+    path.write_bytes((HEADER + '1,Q,"two, lines",x\n2,B,plain,y\n').replace("\n", "\r\n").encode())
+    rows = [tuple(row)[:4] for row in read_zone_files(spark, str(path)).collect()]
+    assert rows == [("1", "Q", "two, lines", "x"), ("2", "B", "plain", "y")]
+
+
+def test_short_rows_are_filled_up_on_purpose(spark, tmp_path):
+    assert zone_rows(spark, tmp_path, '1,B\n2\n3,"x, ""y",\n') == [
+        ("1", "B", None, None), ("2", None, None, None), ("3", 'x, "y', None, None)]
+
+
+@pytest.mark.parametrize(("text", "line"), [
+    ("1,B,plain,y,EXTRA\n", 2), ('1,B,"a\nb\nc",y\n2,B,p,q\n3,B,plain,"x",\n', 6), ('1,a,b,c\n2,"open,a,b\n3,a,b,c\n', 3),
+    ('1,B\n2,"x, y",b,c,"d, e"\n', 3),
+])
+def test_a_malformed_row_stops_the_load_and_is_named(spark, tmp_path, text, line):
+    with pytest.raises(MalformedRow, match=rf"zones.csv, line {line}:"):
+        zone_rows(spark, tmp_path, text)
+
+
+def test_files_of_differing_headers_are_refused(spark, tmp_path):
+    for name, header in (("a", "LocationID,Borough"), ("b", "Borough,LocationID")):
+        (tmp_path / f"{name}.csv").write_text(f"{header}\n1,x\n")
+    with pytest.raises(Exception, match="CSV header"):
+        read_zone_files(spark, str(tmp_path)).collect()
+
+
+def test_whole_documents_survive_a_round_trip(spark, tmp_path):
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    awkward = spark.createDataFrame([(-1, 'x,"y"\r\nz\\" \n', None), (-2, None, "en")], documents.schema)
+    written = documents.unionByName(awkward)
+    write_csv_files(written, f"{tmp_path}/csv")
+    read = read_csv_files(spark, f"{tmp_path}/csv").withColumn("doc_id", F.col("doc_id").cast("long"))
+    assert sorted(map(tuple, read.collect())) == sorted(map(tuple, written.collect()))

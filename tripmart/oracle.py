@@ -156,6 +156,9 @@ _SELECTS = {
         FROM raw""",
     "bronze_zones": """
         SELECT location_id AS locationid, borough, zone, service_zone, 'nation.parquet' AS source_file FROM zones""",
+    "csv_documents": """
+        SELECT doc_id, nullif(lang, '') AS lang, nullif(source, '') AS source, n_chars, md5(nullif(text, '')) AS text_md5
+        FROM documents""",
     "silver_zones": "SELECT location_id, borough, zone, service_zone FROM zones",
     "silver_trips": f"SELECT {_TRIP} FROM clean",
     "silver_issues": """

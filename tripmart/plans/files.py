@@ -2,9 +2,24 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path nobody else uses, in the folder that spark.checkpoint.dir names. Where none is set and all of Spark runs in
+    one process, in a temporary folder."""
+    context = spark.sparkContext
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="tripmart-")
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 class SharedFiles:
     def __init__(self, spark: SparkSession):
         self._hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
@@ -30,17 +45,42 @@ class SharedFiles:
         system, place = self._at(path)
         if system.exists(place):
             return False
+        return self._write_all([self._open_new(path)], content) == 1
+
+    def creates_exclusively(self, directory: str) -> bool:
+        """Whether of two writers that create the same file at the same moment only one succeeds, which a file system
+        has to guarantee before anything may rely on it. Both are open here before either ends, as a store that makes
+        files visible at their end tells only then."""
+        path = f"{directory}/probe-{uuid.uuid4().hex}"
+        try:
+            return self._write_all([self._open_new(path), self._open_new(path)], b"probe") == 1
+        finally:
+            self.delete(path)
+
+    def _open_new(self, path: str):
+        """A stream that creates the file, or none if it is there already."""
+        system, place = self._at(path)
         try:
-            stream = system.create(place, False)
+            return system.create(place, False)
         except Exception as error:
-            if "AlreadyExists" in str(error):
-                return False
+            if _says_existing(error):
+                return None
             raise
-        try:
-            stream.write(bytearray(content))
-        finally:
-            stream.close()
-        return True
+
+    def _write_all(self, streams: list, content: bytes) -> int:
+        """Writes and closes each stream; how many of them made the file."""
+        made = 0
+        for stream in streams:
+            if stream is None:
+                continue
+            try:
+                stream.write(bytearray(content))
+                stream.close()
+                made += 1
+            except Exception as error:
+                if not _says_existing(error):
+                    raise
+        return made
 
     def read(self, path: str) -> bytes:
         system, place = self._at(path)
@@ -53,3 +93,8 @@ class SharedFiles:
     def delete(self, path: str) -> None:
         system, place = self._at(path)
         system.delete(place, True)
+
+
+def _says_existing(error: Exception) -> bool:
+    """A store that creates conditionally at the end of a file refuses with a failed precondition."""
+    return any(sign in str(error) for sign in ("AlreadyExists", "AlreadyBeingCreated", "PreconditionFailed", "Precondition Failed"))

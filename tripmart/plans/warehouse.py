@@ -4,8 +4,8 @@
     <root>/_published/<number>.json     which run of each table is current; the newest entry counts
     <root>/_ended/<layer>/<run>         the run is over in that layer, well or not
 
-Publishing creates one small file that names every table, so readers see all tables of a layer or none,
-on any file system Spark writes to. Readers of the run before are not disturbed, and neither are queries by
+Publishing creates one small file that names every table, so readers see all tables of a layer or none, on any file
+system where creating a file is exclusive. Readers of the run before are not disturbed, and neither are queries by
 name: a name is a view that is replaced in one step.
 """
 
@@ -130,11 +130,29 @@ class Warehouse:
         self._replace(LOAD_AUDIT.name, CURRENT_STATE.format(events=f"parquet.`{self.audit_path}`"))
 
     def _name(self, tables: list[str]) -> None:
-        """One view per table over its current run. A name never is absent: it is replaced in one step."""
-        current = self.current_runs()
-        for name in tables:
-            columns = ", ".join(f"`{column}`" for column in TABLES[name].column_names)
-            self._replace(name, f"SELECT {columns} FROM parquet.`{self.path(name, current[name])}`")
+        """One view per table over its current run. A name never is absent: it is replaced in one step.
+
+        It is replaced only if it does not show that run yet, and looked at again afterwards: whoever publishes
+        meanwhile names its run before or after, and the last look of the two sees the later run.
+        """
+        shown: dict[str, str] = {}
+        while True:
+            current = self.current_runs()
+            stale = [name for name in tables if shown.get(name) != current[name]]
+            if not stale:
+                return
+            for name in stale:
+                shown[name] = current[name]
+                if current[name] not in self._view_text(name):
+                    columns = ", ".join(f"`{column}`" for column in TABLES[name].column_names)
+                    self._replace(name, f"SELECT {columns} FROM parquet.`{self.path(name, current[name])}`")
+
+    def _view_text(self, name: str) -> str:
+        """What a name reads, empty if there is no such name."""
+        if not self.spark.catalog.tableExists(name):
+            return ""
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'View Text'").collect()
+        return described[0]["data_type"] if described else ""
 
     def _replace(self, name: str, text: str) -> None:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
@@ -142,12 +160,7 @@ class Warehouse:
 
     def _named_runs(self) -> set[str]:
         """Runs that names of this session's catalog read."""
-        runs = set()
-        for name in TABLES:
-            if self.spark.catalog.tableExists(name):
-                described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'View Text'").collect()
-                runs |= {run for row in described for run in RUN_NAME.findall(row["data_type"])}
-        return runs
+        return {run for name in TABLES for run in RUN_NAME.findall(self._view_text(name))}
 
     def drop_old_runs(self, grace: timedelta = READERS_GRACE) -> list[str]:
         """Deletes what is neither current nor named by the catalog, of runs that are over since ``grace``.

@@ -13,11 +13,12 @@ from pyspark.sql import types as T
 from tripmart.operators import integrity
 from tripmart.plans import gold, questions
 from tripmart.plans.audit import CURRENT_STATE
+from tripmart.plans.files import scratch_path
 from tripmart.plans.mart import DerivedMart
 from tripmart.schemas import RAW_TRIPS, TRIPS, ZONE_PERFORMANCE, ZONES
-from tripmart.sinks import markdown_row
+from tripmart.sinks import markdown_row, write_csv_files
 from tripmart.sinks.reports import POSITION, markdown_lines
-from tripmart.sources.bronze import bronze_trips, bronze_zones
+from tripmart.sources.bronze import bronze_trips, bronze_zones, read_csv_files
 from tripmart.sources.sample_tables import event_trips, sample_zones
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +83,16 @@ def audit_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(spark.sql(CURRENT_STATE, events=events))
 
 
+def documents_through_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents, line breaks and quotes included, written as CSV and read by the reader of source files."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    path = scratch_path(spark, "documents-csv")
+    write_csv_files(documents, path)
+    read = read_csv_files(spark, path)
+    whole = {name: F.col(name).cast("bigint") for name in ("doc_id", "n_chars")}
+    return read.withColumns(whole).withColumn("text_md5", F.md5("text")).drop("text")
+
+
 PRODUCTS: dict[str, Callable[[DerivedMart], DataFrame]] = {
     "bronze_trips": lambda mart: mart.raw_trips,
     "bronze_zones": lambda mart: mart.raw_zones,
@@ -141,4 +152,5 @@ def _query(product: Callable[[DerivedMart], DataFrame]) -> Query:
 
 
 def sample_queries() -> dict[str, Query]:
-    return {**{name: _query(product) for name, product in PRODUCTS.items()}, "audit_states": audit_states}
+    products = {name: _query(product) for name, product in PRODUCTS.items()}
+    return {**products, "audit_states": audit_states, "csv_documents": documents_through_csv}

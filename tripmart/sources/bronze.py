@@ -1,6 +1,6 @@
 """Trip (Parquet) and zone (CSV) files read as declared bronze tables.
 
-Both readers are narrow: scan, project, cast. Paths may be files, directories or globs. Trip files may differ in
+Both readers are narrow: scan, project, cast; the CSV reader looks for malformed rows first. Paths may be files, directories or globs. Trip files may differ in
 schema, as monthly files do.
 """
 
@@ -104,7 +104,53 @@ def read_zone_files(spark: SparkSession, *paths: str) -> DataFrame:
 
     Columns are found by header name, so their order in the file does not matter.
     """
-    return _with_file_name(spark.read.option("header", True).option("escape", '"').csv(list(paths)))
+    return _with_file_name(read_csv_files(spark, *paths))
+
+
+def read_csv_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """CSV files with a header as text columns. A quoted cell may hold line breaks, commas and doubled quotes;
+    an empty one, quoted or not, is NULL.
+
+    A row with more cells than the header, or a quote that never ends, raises MalformedRow before anything is loaded;
+    so does a file whose header differs. A row with fewer cells is filled up with NULL on purpose: trailing columns are
+    often left out. A file is read by one task, as only its start says which line breaks are quoted: this reader is
+    for lookups.
+    """
+    reader = spark.read.options(**CSV_DIALECT)
+    columns = reader.csv(list(paths)).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*columns, RECORD)])
+    read = reader.schema(schema).csv(list(paths))
+    # Set where the number of cells differs from the header's; quoted cells do not count for commas.
+    unquoted = F.regexp_replace(RECORD, QUOTED_CELL, "$1")
+    too_many = F.size(F.split(unquoted, ",", -1)) > len(columns)
+    wrong = read.where(F.col(RECORD).isNotNull() & (too_many | unquoted.rlike(OPEN_CELL)))
+    # Spark reads the record only along with a column.
+    found = wrong.select("_metadata.file_path", RECORD, read[f"`{columns[0]}`"]).take(1)
+    if found:
+        path, record, _ = found[0]
+        raise MalformedRow(f"{path}, line {_line_of(spark, path, record)}: not the {len(columns)} cells of its header: {record[:200]!r}")
+    return read.drop(RECORD)
+
+
+class MalformedRow(ValueError):
+    """A CSV row that cannot be told apart into the cells of its header."""
+
+
+RECORD = "__record"
+# The CSV dialect of source files.
+CSV_DIALECT = {
+    "header": "true", "escape": '"', "multiLine": "true", "enforceSchema": "false", "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": RECORD, "columnPruning": "false",
+}
+QUOTED_CELL = r'(^|,)"(?:[^"]|"")*"'
+OPEN_CELL = r'(^|,)"'
+
+
+def _line_of(spark: SparkSession, path: str, record: str) -> int:
+    """The line a record begins at, counted where the file is read."""
+    whole = spark.read.text(path, wholetext=True)
+    before = F.substring_index("value", record.rstrip("\r\n"), 1)
+    return whole.select(F.size(F.split(before, "\n", -1))).first()[0]
 
 
 def bronze_trips(source: DataFrame, loaded_at: datetime) -> DataFrame:
