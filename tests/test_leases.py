@@ -1,0 +1,95 @@
+"""Loads whose process died, or seemed to."""
+
+import os
+import signal
+import subprocess
+import sys
+import time
+from datetime import timedelta
+from pathlib import Path
+
+import pytest
+from samples import RUN_AT, source_trips, write_sources
+
+from tripmart.plans.audit import LoadAudit
+from tripmart.plans.leases import LeaseLost
+from tripmart.plans.refresh import Refresh
+from tripmart.plans.warehouse import Warehouse
+from tripmart.sources import read_trip_files, read_zone_files
+
+SHORT = timedelta(seconds=2)
+
+# A load in a process of its own that says when it is in the middle, and stays there.
+DYING = """
+import sys, time
+sys.path[:0] = [{repo!r}, {tests!r}]
+from tripmart.session import build_session
+from tripmart.plans.warehouse import Warehouse
+from tripmart.plans.refresh import Refresh
+from tripmart.sources import read_trip_files, read_zone_files
+spark = build_session("dying", master="local[2]", **{{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2"}})
+refresh = Refresh(spark, Warehouse(spark, {wh!r}))
+refresh._publish = lambda tables, lease: (print("staged", refresh.run_id, flush=True), time.sleep(600))
+refresh.bronze(read_trip_files(spark, {trips!r}), read_zone_files(spark, {zones!r}))
+"""
+
+
+def states(warehouse):
+    rows = LoadAudit(warehouse.spark, warehouse.audit_path).current().collect()
+    return sorted((row["table_name"], row["status"], row["error_message"]) for row in rows)
+
+
+def test_a_killed_load_is_reaped(spark, tmp_path):
+    trips, zones = write_sources(spark, f"{tmp_path}/source", source_trips(spark, {}))
+    wh, tests = f"{tmp_path}/wh", Path(__file__).parent
+    code = DYING.format(repo=str(tests.parent), tests=str(tests), wh=wh, trips=trips, zones=zones)
+    process = subprocess.Popen([sys.executable, "-c", code], stdout=subprocess.PIPE, stderr=subprocess.DEVNULL, text=True, start_new_session=True)
+    try:
+        run_id = next(line.split()[1] for line in process.stdout if line.startswith("staged"))
+        assert process.stdout.readline().startswith("staged")
+    finally:
+        os.killpg(process.pid, signal.SIGKILL)
+        process.wait()
+    warehouse = Warehouse(spark, wh, lease_expiry=SHORT)
+    assert [state[1] for state in states(warehouse)] == ["RUNNING", "RUNNING"]
+    assert Path(f"{wh}/bronze/{run_id}").is_dir() and warehouse.drop_old_runs(timedelta(0)) == []
+    time.sleep(SHORT.total_seconds() + 0.5)
+    assert warehouse.reap() == [f"bronze/{run_id}"] and warehouse.reap() == []
+    assert [(table, status) for table, status, _ in states(warehouse)] == [
+        ("bronze.raw_taxi_trips", "FAILED"), ("bronze.raw_taxi_zones", "FAILED")]
+    assert all("no sign of life" in error for _, _, error in states(warehouse))
+    assert warehouse.drop_old_runs() == []
+    assert warehouse.drop_old_runs(timedelta(0)) == [f"bronze/{run_id}"] and not Path(f"{wh}/bronze/{run_id}").exists()
+
+
+def test_a_load_under_way_is_not_reaped(spark, tmp_path):
+    warehouse = Warehouse(spark, f"{tmp_path}/wh", lease_expiry=SHORT)
+    audit = LoadAudit(spark, warehouse.audit_path)
+    with warehouse.ending("20240101T000000000001-00000000", "gold") as lease, audit.load("slow", "gold.x", lease=lease):
+        for _ in range(3):
+            time.sleep(SHORT.total_seconds() / 2)
+            assert warehouse.reap() == []
+        lease.expect_held()
+    assert [state[1] for state in states(warehouse)] == ["SUCCESS"] and list(warehouse._leases.expired()) == []
+
+
+def test_a_load_taken_for_dead_does_not_publish(spark, tmp_path, monkeypatch):
+    paths = write_sources(spark, f"{tmp_path}/source", source_trips(spark, {}))
+    warehouse = Warehouse(spark, f"{tmp_path}/wh", lease_expiry=timedelta(hours=1))
+    refresh, other = Refresh(spark, warehouse, run_at=RUN_AT), Warehouse(spark, f"{tmp_path}/wh", lease_expiry=timedelta(0))
+    stage = warehouse.stage
+
+    def slow(*arguments):
+        rows = stage(*arguments)
+        time.sleep(0.1)
+        other.reap()
+        return rows
+
+    monkeypatch.setattr(warehouse, "stage", slow)
+    with pytest.raises(LeaseLost):
+        refresh.bronze(read_trip_files(spark, paths[0]), read_zone_files(spark, paths[1]))
+    assert warehouse.current_runs() == {}
+    assert {state[1] for state in states(warehouse)} == {"FAILED"}
+    again = Refresh(spark, Warehouse(spark, f"{tmp_path}/wh"), run_at=RUN_AT)
+    again.bronze(read_trip_files(spark, paths[0]), read_zone_files(spark, paths[1]))
+    assert set(again.warehouse.current_runs()) == {"bronze.raw_taxi_trips", "bronze.raw_taxi_zones"}

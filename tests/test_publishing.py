@@ -5,7 +5,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
-from tripmart.plans.files import SharedFiles
+from tripmart.files import SharedFiles
 from tripmart.plans.published import KEPT_ENTRIES, NoExclusiveCreate, Published, StaleRun, TornLog
 from tripmart.plans.warehouse import Warehouse
 from tripmart.schemas import TABLES

@@ -1,5 +1,6 @@
 from datetime import timedelta
 from glob import glob
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -46,7 +47,8 @@ def test_full_refresh_stores_reports_and_audits_everything(spark, tmp_path):
     assert [report.error for report in result.reports] == [None] * len(REPORTS)
     assert audit_of(spark, tmp_path) == {table: ("SUCCESS", rows, None) for table, rows in result.row_counts.items()}
     for report in REPORTS:
-        assert glob(f"{tmp_path}/reports/{report.label}.csv/part-*") and glob(f"{tmp_path}/reports/{report.label}.md/part-*")
+        for kind in ("csv", "md"):
+            assert Path(f"{tmp_path}/reports/{report.label}.{kind}").is_file()
     stored = refresh.warehouse.snapshot()
     for name, table in TABLES.items():
         frame = stored(name)
@@ -266,4 +268,5 @@ def test_command_line(spark, tmp_path, capsys):
     assert "bronze.raw_taxi_trips: 4 rows" in capsys.readouterr().out
     assert command.main([*arguments, "--drop-old-runs"]) == 0
     assert "Q1_total_trips: 1 rows" in capsys.readouterr().out
-    assert glob(f"{tmp_path}/wh/reports/Q19_zone_rank_per_borough.md/part-*")
+    assert Path(f"{tmp_path}/wh/reports/Q19_zone_rank_per_borough.md").is_file()
+    assert not [path.name for path in Path(f"{tmp_path}/wh/reports").iterdir() if path.name.startswith("_")]

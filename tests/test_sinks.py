@@ -1,5 +1,5 @@
 from decimal import Decimal
-from glob import glob
+from pathlib import Path
 
 import pytest
 from samples import RUN_AT
@@ -8,7 +8,8 @@ from tripmart.sinks import write_report
 
 
 def text(directory, name):
-    files = sorted(glob(f"{directory}/{name}/part-*"))
+    path = Path(directory) / name
+    files = [path] if path.is_file() else sorted(path.glob("part-*"))
     return len(files), b"".join(open(file, "rb").read() for file in files).decode()
 
 
@@ -45,3 +46,38 @@ def test_empty_result_still_has_a_header(spark, tmp_path):
     assert write_report("none", sample(spark).where("n > 5"), str(tmp_path), RUN_AT) == 0
     assert "| name | amount | n |" in text(tmp_path, "none.md")[1]
     assert text(tmp_path, "none.csv")[1] == "name,amount,n\r\n"
+
+
+def test_a_long_report_is_a_folder_of_ordered_parts(spark, tmp_path):
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    try:
+        for rows in (10, 60_000, 10):
+            spark.conf.set(merging, str(rows == 10).lower())
+            assert write_report("long", spark.range(rows).repartition(5).orderBy("id"), str(tmp_path), RUN_AT) == rows
+            files, table = text(tmp_path, "long.csv")
+            assert (files > 1) == (rows > 10) == (tmp_path / "long.csv").is_dir()
+            assert [line for line in table.splitlines() if line != "id"] == [str(number) for number in range(rows)]
+    finally:
+        spark.conf.unset(merging)
+    assert sorted(path.name for path in tmp_path.iterdir() if not path.name.startswith(".")) == ["long.csv", "long.md"]
+
+
+def test_a_result_is_worked_out_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for row in rows:
+            seen.add(row.num_rows)
+            yield row
+
+    result = spark.range(100).mapInArrow(count, "id long")
+    assert write_report("once", result, str(tmp_path), RUN_AT) == 100
+    assert seen.value == 100
+
+
+def test_a_failing_report_keeps_the_last_one(spark, tmp_path):
+    write_report("kept", spark.range(3), str(tmp_path), RUN_AT)
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        write_report("kept", spark.range(3).selectExpr("1 / (id - id) AS x"), str(tmp_path), RUN_AT)
+    assert text(tmp_path, "kept.csv")[1] == "id\r\n0\r\n1\r\n2\r\n"
+    assert sorted(path.name for path in tmp_path.iterdir() if not path.name.startswith(".")) == ["kept.csv", "kept.md"]

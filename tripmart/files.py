@@ -22,6 +22,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 class SharedFiles:
     def __init__(self, spark: SparkSession):
+        self._gateway = spark.sparkContext._gateway
         self._hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
         self._configuration = spark.sparkContext._jsc.hadoopConfiguration()
 
@@ -47,6 +48,10 @@ class SharedFiles:
             return False
         return self._write_all([self._open_new(path)], content) == 1
 
+    def overwrite(self, path: str, content: bytes) -> None:
+        system, place = self._at(path)
+        self._write_all([system.create(place, True)], content)
+
     def creates_exclusively(self, directory: str) -> bool:
         """Whether of two writers that create the same file at the same moment only one succeeds, which a file system
         has to guarantee before anything may rely on it. Both are open here before either ends, as a store that makes
@@ -90,6 +95,17 @@ class SharedFiles:
         finally:
             stream.close()
 
+    def replace(self, source: str, target: str) -> None:
+        """Gives a file or folder another name; a file that has the name is replaced in one step where the file system
+        renames in one, a folder is deleted before."""
+        system, place = self._at(target)
+        if system.exists(place) and (system.getFileStatus(place).isDirectory() or system.getFileStatus(self._at(source)[1]).isDirectory()):
+            system.delete(place, True)
+        overwrite = self._hadoop.Options.Rename.OVERWRITE
+        options = self._gateway.new_array(self._hadoop.Options.Rename, 1)
+        options[0] = overwrite
+        self._hadoop.FileContext.getFileContext(place.toUri(), self._configuration).rename(self._at(source)[1], place, options)
+
     def delete(self, path: str) -> None:
         system, place = self._at(path)
         system.delete(place, True)

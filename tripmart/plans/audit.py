@@ -6,7 +6,7 @@ import io
 import threading
 import time
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from datetime import UTC, datetime
 
 import pyarrow as pa
@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tripmart.plans.files import SharedFiles
+from tripmart.files import SharedFiles
+from tripmart.plans.leases import Lease
 from tripmart.schemas import LOAD_AUDIT
 
 # The states of a load.
@@ -65,8 +66,9 @@ class LoadAudit:
         self._files = SharedFiles(spark)
 
     @contextmanager
-    def load(self, process_name: str, *tables: str) -> Iterator[dict[str, int]]:
-        """Records one load of ``tables``. The body fills in row counts; an error is recorded and raised."""
+    def load(self, process_name: str, *tables: str, lease: Lease | None = None) -> Iterator[dict[str, int]]:
+        """Records one load of ``tables``. The body fills in row counts; an error is recorded and raised. If the process
+        dies, whoever finds the lease expired ends the load by ``end_dead``."""
         first_id = take_numbers(len(tables))
         started = utc_now()
         ids = {table: first_id + offset for offset, table in enumerate(tables)}
@@ -82,13 +84,23 @@ class LoadAudit:
                 for table in tables
             ])
 
-        append(RUNNING)
-        try:
-            yield row_counts
-        except Exception as error:
-            append(FAILED, str(error))
-            raise
-        append(SUCCESS)
+        covered = [[ids[table], table, process_name, started.isoformat()] for table in tables]
+        with lease.covering(str(first_id), covered) if lease else nullcontext():
+            append(RUNNING)
+            try:
+                yield row_counts
+            except Exception as error:
+                append(FAILED, str(error))
+                raise
+            append(SUCCESS)
+
+    def end_dead(self, covered: list[list], reason: str) -> None:
+        """Records loads as failed whose process died. One that ended all the same keeps the later of its two ends."""
+        now = utc_now()
+        self._append([
+            (audit_id, table.split(".")[0], table, process, FAILED, None, datetime.fromisoformat(started), now, reason)
+            for audit_id, table, process, started in covered
+        ])
 
     def current(self) -> DataFrame:
         """One row per load with its latest state."""

@@ -15,6 +15,7 @@ from tripmart.operators import rollups
 from tripmart.operators.integrity import IntegrityError, duplicate_keys, orphan_locations
 from tripmart.plans import gold, silver
 from tripmart.plans.audit import LoadAudit, utc_now
+from tripmart.plans.leases import Lease
 from tripmart.plans.mart import DerivedMart, StoredMart
 from tripmart.plans.questions import REPORTS
 from tripmart.plans.warehouse import Warehouse, new_run_id
@@ -78,23 +79,23 @@ class Refresh:
 
     def bronze(self, trip_source: DataFrame, zone_source: DataFrame) -> None:
         """Zones and trips are separate loads: one can succeed without the other."""
-        with self.warehouse.ending(self.run_id, RAW_TRIPS.layer):
+        with self.warehouse.ending(self.run_id, RAW_TRIPS.layer) as lease:
             self._together({
-                RAW_ZONES.name: lambda: self._load_raw(RAW_ZONES, lambda: bronze_zones(zone_source, self.run_at)),
-                RAW_TRIPS.name: lambda: self._load_raw(RAW_TRIPS, lambda: bronze_trips(trip_source, self.run_at)),
+                RAW_ZONES.name: lambda: self._load_raw(RAW_ZONES, lambda: bronze_zones(zone_source, self.run_at), lease),
+                RAW_TRIPS.name: lambda: self._load_raw(RAW_TRIPS, lambda: bronze_trips(trip_source, self.run_at), lease),
             })
 
-    def _load_raw(self, table: Table, typed: Callable[[], DataFrame]) -> None:
-        with self.audit.load(BRONZE_LOAD, table.name) as counts:
+    def _load_raw(self, table: Table, typed: Callable[[], DataFrame], lease: Lease) -> None:
+        with self.audit.load(BRONZE_LOAD, table.name, lease=lease) as counts:
             counts[table.name] = self._stage(table, typed())
-            self._publish([table])
+            self._publish([table], lease)
 
     def silver(self) -> None:
         """Zones, issues, trips and the trip rollups are one load: all are published or none."""
         tables = [ZONES, ISSUES, TRIPS, TRIPS_BY_TIME, TRIPS_BY_ROUTE]
         with (
-            self.warehouse.ending(self.run_id, TRIPS.layer, TRIPS_BY_ROUTE.layer),
-            self.audit.load(SILVER_LOAD, *[table.name for table in tables]) as counts,
+            self.warehouse.ending(self.run_id, TRIPS.layer, TRIPS_BY_ROUTE.layer) as lease,
+            self.audit.load(SILVER_LOAD, *[table.name for table in tables], lease=lease) as counts,
         ):
             stored = StoredMart(self.warehouse.snapshot())
             counts[ZONES.name] = self._stage(ZONES, silver.clean_zones(stored.raw_zones))
@@ -111,7 +112,7 @@ class Refresh:
             })
             # The route rollup holds every location pair of the trips, and is far smaller.
             self._expect_known(self._staged(TRIPS_BY_ROUTE), TRIPS, zones)
-            self._publish(tables)
+            self._publish(tables, lease)
 
     def gold(self) -> None:
         """All summaries come from the published rollups, and are one load."""
@@ -124,8 +125,8 @@ class Refresh:
             ROUTES: lambda: gold.route_performance(stored.trips_by_route, stored.zones, self.stored_routes),
         }
         with (
-            self.warehouse.ending(self.run_id, DAILY.layer),
-            self.audit.load(GOLD_LOAD, *[table.name for table in summaries]) as counts,
+            self.warehouse.ending(self.run_id, DAILY.layer) as lease,
+            self.audit.load(GOLD_LOAD, *[table.name for table in summaries], lease=lease) as counts,
         ):
             frames = {table: build() for table, build in summaries.items()}
             counts |= self._together({
@@ -133,7 +134,7 @@ class Refresh:
                 for table, frame in frames.items()
             })
             self._expect_unique([(table, self._staged(table)) for table in summaries])
-            self._publish(list(summaries))
+            self._publish(list(summaries), lease)
 
     def reports(self, directory: str) -> list[ReportStatus]:
         """Every question is tried; a failing one is reported and does not stop the others."""
@@ -168,7 +169,8 @@ class Refresh:
     def _staged(self, table: Table) -> DataFrame:
         return self.warehouse.read_run(table.name, self.run_id)
 
-    def _publish(self, tables: list[Table]) -> None:
+    def _publish(self, tables: list[Table], lease: Lease) -> None:
+        lease.expect_held()
         self.warehouse.publish(self.run_id, [table.name for table in tables])
 
     def _together(self, writes: dict[str, Callable[[], T]]) -> dict[str, T]:

@@ -43,7 +43,7 @@ def clean_trips(raw_trips: DataFrame, zones: DataFrame, created_at: datetime) ->
         "pickup_location_id": F.col("pulocation_id"),
         "dropoff_location_id": F.col("dolocation_id"),
         "payment_type_label": fn.payment_label(F.col("payment_type")),
-        "created_at": run_moment(created_at),
+        "created_at": run_moment(created_at, pickup),
     }
     return valid.select(*[derived.get(name, F.col(name)).alias(name) for name in TRIPS.column_names])
 
@@ -58,7 +58,7 @@ def quality_issues(raw_trips: DataFrame, detected_at: datetime) -> DataFrame:
         "pickup_datetime": F.col("tpep_pickup_datetime"),
         "dropoff_datetime": F.col("tpep_dropoff_datetime"),
         "raw_row_ref": F.lit(None).cast("string"),  # declared, never filled
-        "detected_at": run_moment(detected_at),
+        "detected_at": run_moment(detected_at, F.col("tpep_pickup_datetime")),
     }
     found = broken_rules(raw_trips, copied)
     return found.select(*[derived.get(name, F.col(name)).alias(name) for name in ISSUES.column_names])

@@ -3,6 +3,7 @@
     <root>/<layer>/<run>/<table>        Parquet files of one load
     <root>/_published/<number>.json     which run of each table is current; the newest entry counts
     <root>/_ended/<layer>/<run>         the run is over in that layer, well or not
+    <root>/_leases/<lease>              a run under way, touched again and again
 
 Publishing creates one small file that names every table, so readers see all tables of a layer or none, on any file
 system where creating a file is exclusive. Readers of the run before are not disturbed, and neither are queries by
@@ -14,7 +15,7 @@ from __future__ import annotations
 import re
 import time
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from datetime import timedelta
 
@@ -22,7 +23,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tripmart.operators.integrity import IntegrityError, row_metrics
 from tripmart.plans.audit import CURRENT_STATE, LoadAudit, utc_now
-from tripmart.plans.files import SharedFiles
+from tripmart.files import SharedFiles
+from tripmart.plans.leases import EXPIRY, Lease, Leases
 from tripmart.plans.published import EMPTY_RUN, Published
 from tripmart.plans.views import CATALOG_VIEWS
 from tripmart.schemas import LOAD_AUDIT, TABLES, Table
@@ -40,12 +42,13 @@ def new_run_id() -> str:
 class Warehouse:
     """``named``: every publish also makes its tables known to SQL by name, as ``register`` does for all."""
 
-    def __init__(self, spark: SparkSession, root: str, named: bool = False):
+    def __init__(self, spark: SparkSession, root: str, named: bool = False, lease_expiry: timedelta = EXPIRY):
         self.spark = spark
         self.root = root.rstrip("/")
         self.named = named
         self.audit_path = f"{self.root}/audit/events"
         self._files = SharedFiles(spark)
+        self._leases = Leases(spark, f"{self.root}/_leases", lease_expiry)
         self._published = Published(spark, f"{self.root}/_published")
 
     def path(self, table: str, run_id: str) -> str:
@@ -102,13 +105,30 @@ class Warehouse:
         return self._published.current_runs()
 
     @contextmanager
-    def ending(self, run_id: str, *layers: str) -> Iterator[None]:
-        """Marks the run as over in these layers when the body ends, well or not."""
-        try:
-            yield
-        finally:
-            for layer in layers:
-                self._files.create(f"{self.root}/_ended/{layer}/{run_id}", b"")
+    def ending(self, run_id: str, *layers: str) -> Iterator[Lease]:
+        """Marks the run as over in these layers when the body ends, well or not. Meanwhile it holds a lease, by which
+        ``reap`` ends it if its process dies."""
+        with self._leases.held(run_id, *layers) as lease:
+            try:
+                yield lease
+            finally:
+                self._mark_ended(run_id, layers)
+
+    def _mark_ended(self, run_id: str, layers: Iterable[str]) -> None:
+        for layer in layers:
+            self._files.create(f"{self.root}/_ended/{layer}/{run_id}", b"")
+
+    def reap(self) -> list[str]:
+        """Ends the runs whose process died: their loads turn from running to failed, and their directories are free
+        for ``drop_old_runs`` after its grace. Returns what was ended, as layer/run."""
+        audit, reaped = LoadAudit(self.spark, self.audit_path), []
+        for covered, take_away in self._leases.expired():
+            take_away()  # first: from now on the load does not publish, should it only have been slow
+            for events in covered["loads"].values():
+                audit.end_dead(events, f"no sign of life for over {self._leases.expiry}")
+            self._mark_ended(covered["run"], covered["layers"])
+            reaped += [f"{layer}/{covered['run']}" for layer in covered["layers"]]
+        return reaped
 
     def ensure_tables(self) -> None:
         """Publishes an empty table for every declared one that is not there yet."""
@@ -165,8 +185,8 @@ class Warehouse:
     def drop_old_runs(self, grace: timedelta = READERS_GRACE) -> list[str]:
         """Deletes what is neither current nor named by the catalog, of runs that are over since ``grace``.
 
-        A run under way has no end marker and is never touched, whenever it started. Neither is one whose process
-        died; its directories have to be deleted by hand.
+        A run under way has no end marker and is never touched, whenever it started. One whose process died gets its
+        marker by ``reap``.
         """
         kept = set(self.current_runs().values()) | self._named_runs()
         before = (time.time() - grace.total_seconds()) * 1000

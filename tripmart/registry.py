@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tripmart.operators import integrity
 from tripmart.plans import gold, questions
 from tripmart.plans.audit import CURRENT_STATE
-from tripmart.plans.files import scratch_path
+from tripmart.files import scratch_path
 from tripmart.plans.mart import DerivedMart
 from tripmart.schemas import RAW_TRIPS, TRIPS, ZONE_PERFORMANCE, ZONES
 from tripmart.sinks import markdown_row, write_csv_files

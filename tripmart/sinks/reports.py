@@ -1,11 +1,13 @@
 """Writes an ordered result as CSV and as a Markdown table.
 
-Both are written by Spark in row order, by one distributed sort whatever the size; adaptive execution writes a short
-report as one file and a long one as ordered part files.
+A result is worked out once and stored with the position of each row; both files are written from there in row order,
+by one distributed sort whatever the size. Where adaptive execution ends with one part, it becomes the file of the
+report's name; a long report is a folder of that name with ordered part files.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -13,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmart.files import SharedFiles
 from tripmart.functions.frames import small_frame
 
 POSITION = "__position"
@@ -51,19 +54,24 @@ class ReportStatus:
 
 
 def write_report(label: str, result: DataFrame, directory: str, run_at: datetime) -> int:
-    """Writes ``{directory}/{label}.csv`` and ``.md``, replacing earlier ones; returns the row count.
-
-    Rows are counted by the tasks that write the CSV. The result is ordered up to ties that its columns
-    cannot tell apart, so working it out again for the second file gives the same rows in the same order.
-    """
-    numbered = result.withColumn(POSITION, F.monotonically_increasing_id())
-    counts = Observation(f"rows of {label}")
-    ordered = numbered.orderBy(POSITION).observe(counts, F.count(F.lit(1)).alias("rows")).drop(POSITION)
-    ordered.write.mode("overwrite").options(**CSV_DIALECT).csv(f"{directory}/{label}.csv")
-    rows = counts.get["rows"]
-    lines = markdown_lines(label, numbered, rows, run_at)
-    lines.write.mode("overwrite").text(f"{directory}/{label}.md")
-    return rows
+    """Writes ``{directory}/{label}.csv`` and ``.md``, replacing earlier ones; returns the row count."""
+    spark = result.sparkSession
+    files = SharedFiles(spark)
+    work = f"{directory}/_{label}-{uuid.uuid4().hex}"
+    try:
+        counts = Observation(f"rows of {label}")
+        numbered = result.withColumn(POSITION, F.monotonically_increasing_id())
+        numbered.observe(counts, F.count(F.lit(1)).alias("rows")).write.parquet(f"{work}/rows")
+        rows = counts.get["rows"]
+        stored = spark.read.schema(numbered.schema).parquet(f"{work}/rows")
+        stored.orderBy(POSITION).drop(POSITION).write.options(**CSV_DIALECT).csv(f"{work}/csv")
+        markdown_lines(label, stored, rows, run_at).write.text(f"{work}/md")
+        for kind in ("csv", "md"):
+            parts = [name for name in files.names(f"{work}/{kind}") if name.startswith("part-")]
+            files.replace(f"{work}/{kind}/{parts[0]}" if len(parts) == 1 else f"{work}/{kind}", f"{directory}/{label}.{kind}")
+        return rows
+    finally:
+        files.delete(work)
 
 
 def markdown_lines(label: str, numbered: DataFrame, rows: int, run_at: datetime) -> DataFrame:

@@ -28,9 +28,14 @@ RENAMED = {
 }
 
 
-def run_moment(at: datetime) -> Column:
-    """One driver-chosen moment (UTC) as a zone-less timestamp, the same in every task."""
-    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+def run_moment(at: datetime, of: Column) -> Column:
+    """One driver-chosen moment (UTC) as a zone-less timestamp, the same in every row; ``of`` is any column of the row.
+
+    A plain literal would be written into the generated code, which then is compiled anew for every run. An array goes
+    to the code as data, and its place follows from a column, so that it is not folded into a literal again.
+    """
+    moments = F.array(F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz"))
+    return F.element_at(moments, F.isnull(of).cast("int") * 0 + 1)
 
 
 def read_trip_files(
@@ -179,7 +184,7 @@ def _conform(frame: DataFrame, table: Table, loaded_at: datetime) -> DataFrame:
             for name, kind in table.columns
             if name != "loaded_at"
         ],
-        run_moment(loaded_at).alias("loaded_at"),
+        run_moment(loaded_at, frame[table.column_names[0]]).alias("loaded_at"),
     )
 
 
