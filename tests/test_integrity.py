@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from test_silver import mart_of
 
-from tripmart.operators.integrity import duplicate_keys, orphan_locations, violations
+from tripmart.operators.integrity import broken_ranges, duplicate_keys, footer_ranges, orphan_locations, violations
 from tripmart.schemas import DAILY, TRIPS, ZONES
 
 
@@ -65,3 +65,21 @@ def test_results_do_not_depend_on_partitioning(spark, partitions):
     expected = mart_of(spark, *changes)
     again = [expected.daily_trends, expected.zone_ranks, expected.payments, expected.routes]
     assert result == [sorted(tuple(row) for row in frame.collect()) for frame in again]
+
+
+def test_footers_tell_files_that_may_share_ids(spark, tmp_path):
+    def write(name, ids, kind="bigint"):
+        spark.createDataFrame([(k,) for k in ids], f"id {kind}").coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+
+    for ids in ([1, 2, 3], [10, 12], [], [1 << 33, (1 << 33) + 5]):
+        write("sound", ids)
+    assert broken_ranges(footer_ranges(spark, f"{tmp_path}/sound", "id")).collect() == []
+    assert footer_ranges(spark, f"{tmp_path}/sound", "id").count() == 3
+    write("shared", [1, 2, 3])
+    write("shared", [3, 4])
+    write("inside", [1, 9])
+    write("inside", [4, 5])
+    write("repeated", [7, 7, 8])
+    write("unknown", [None])
+    for name, low in (("shared", 3), ("inside", 4), ("repeated", 7), ("unknown", None)):
+        assert [row["low"] for row in broken_ranges(footer_ranges(spark, f"{tmp_path}/{name}", "id")).collect()] == [low]

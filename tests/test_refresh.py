@@ -1,3 +1,4 @@
+import re
 from datetime import timedelta
 from glob import glob
 from pathlib import Path
@@ -15,10 +16,10 @@ from tripmart.plans.mart import StoredMart
 from tripmart.plans.published import KEPT_ENTRIES, StaleRun
 from tripmart.plans.questions import REPORTS, Report
 from tripmart.plans.refresh import Refresh
-from tripmart.plans.silver import clean_trips, clean_zones
+from tripmart.plans.silver import clean_trips, clean_zones, number_rows
 from tripmart.plans.warehouse import Warehouse
 from tripmart.schemas import TABLES
-from tripmart.sources import bronze_zones, read_trip_files, read_zone_files
+from tripmart.sources import bronze_trips, bronze_zones, read_trip_files, read_zone_files
 from tripmart.sources.sample_tables import event_trips
 
 NOW = timedelta(0)
@@ -270,3 +271,45 @@ def test_command_line(spark, tmp_path, capsys):
     assert "Q1_total_trips: 1 rows" in capsys.readouterr().out
     assert Path(f"{tmp_path}/wh/reports/Q19_zone_rank_per_borough.md").is_file()
     assert not [path.name for path in Path(f"{tmp_path}/wh/reports").iterdir() if path.name.startswith("_")]
+
+
+def test_dense_ids_count_from_one_and_agree_on_reruns(spark, tmp_path):
+    zones = [(n, f"B{n % 5}", f"Z{n}", None) for n in range(25)]
+    trips = event_trips(spark, "/root/testdata/sf0.001").drop("source_file").repartition(5)
+    first, sources = refresh_of(spark, tmp_path, trips, zones, dense_ids=True)
+    again = Refresh(spark, first.warehouse, run_at=RUN_AT, dense_ids=True)
+    found = []
+    for refresh in (first, again):
+        refresh.bronze(*sources)
+        refresh.silver()
+        read = refresh.warehouse.snapshot()
+        found.append([sorted(map(tuple, read(name).select(id_column, *columns).collect())) for name, id_column, columns in (
+            ("silver.taxi_trips_cleaned", "trip_id", ["pickup_datetime", "total_amount"]),
+            ("silver.data_quality_issues", "issue_id", ["pickup_datetime", "error_type"]))])
+    assert found[0] == found[1]
+    assert [[row[0] for row in rows] for rows in found[0]] == [list(range(1, 879)), list(range(1, len(found[0][1]) + 1))]
+    assert not glob(f"{tmp_path}/wh/silver/*/*_unnumbered")
+    stored = first.warehouse.snapshot()("silver.taxi_trips_cleaned")
+    plan = number_rows(stored, "trip_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plan and "rangepartitioning" not in plan
+
+
+def test_ids_that_files_share_stop_the_load(spark, tmp_path, monkeypatch):
+    refresh, sources = refresh_of(spark, tmp_path, source_trips(spark, *GOOD).repartition(2))
+    refresh.bronze(*sources)
+    clean = refresh_module.silver.clean_trips
+    monkeypatch.setattr(refresh_module.silver, "clean_trips", lambda *given: clean(*given).withColumn("trip_id", F.lit(7).cast("long")))
+    with pytest.raises(IntegrityError, match="trip_id may not be unique"):
+        refresh.silver()
+    assert "silver.taxi_trips_cleaned" not in refresh.warehouse.current_runs()
+
+
+def test_the_run_moment_is_no_part_of_generated_code(spark, tmp_path):
+    trips = event_trips(spark, "/root/testdata/sf0.001")
+    codes = []
+    for moment in (RUN_AT, RUN_AT + timedelta(days=1)):
+        frame = bronze_trips(trips, moment)
+        assert [row[0] for row in frame.select("loaded_at").distinct().collect()] == [moment]
+        codes.append(frame._jdf.queryExecution().debug().codegenToSeq().toString())
+    generated = [re.sub(r"#\d+L?", "", code[code.index("public Object generate"):]) for code in codes]
+    assert generated[0] == generated[1] and len(generated[0]) > 1000

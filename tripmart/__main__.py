@@ -25,6 +25,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--stored-routes", type=int, default=TOP_ROUTES, help="routes the mart keeps (default: %(default)s)")
     parser.add_argument("--missing-as-null", nargs="*", default=[], metavar="COLUMN",
                         help="trip columns that files may lack")
+    parser.add_argument("--dense-ids", action="store_true", help="number trips and issues from 1 without gaps")
     parser.add_argument("--one-schema", action="store_true", help="take the trip files to be alike and read no footers")
     options = parser.parse_args(arguments)
 
@@ -34,7 +35,8 @@ def main(arguments: list[str] | None = None) -> int:
         warehouse.register()
     for dead in warehouse.reap():
         print(f"{dead}: ended, its process had died")
-    refresh = Refresh(spark, warehouse, options.partition_by_date, stored_routes=options.stored_routes)
+    refresh = Refresh(spark, warehouse, options.partition_by_date, stored_routes=options.stored_routes,
+                      dense_ids=options.dense_ids)
     trips = read_trip_files(spark, *options.trips, missing_as_null=tuple(options.missing_as_null), one_schema=options.one_schema)
     zones = read_zone_files(spark, *options.zones)
     if options.bronze_only:

@@ -20,6 +20,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
+def for_arrow(path: str) -> tuple[str, object]:
+    """A path as Spark names it, as pyarrow's path and file system (none for local files)."""
+    from pyarrow import fs
+
+    location = path.removeprefix("file:") if path.startswith("file:") else path
+    if "://" not in location or location.startswith("/"):
+        return "/" + location.lstrip("/"), None
+    scheme, _, rest = location.partition("://")
+    system, place = fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
+    return place, system
+
+
 class SharedFiles:
     def __init__(self, spark: SparkSession):
         self._gateway = spark.sparkContext._gateway

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from tripmart.files import for_arrow
 from tripmart.schemas import Table
 
 
@@ -63,3 +68,36 @@ def orphan_locations(references: DataFrame, columns: tuple[str, ...], zones: Dat
     """Location ids that are used but not declared. A missing id refers to nothing and is allowed."""
     used = references.select(F.explode(F.array(*columns)).alias("location_id")).where("location_id IS NOT NULL")
     return used.distinct().join(zones.select("location_id"), "location_id", "left_anti")
+
+
+def footer_ranges(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """(file, n, low, high) of an integer column, one row per Parquet file with rows, from the statistics in its footer.
+    No row is read. Files are opened in Spark's tasks, through pyarrow's file systems."""
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [{"file": name, **_footer_range(name, column)} for name in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_pylist(
+                [row for row in rows if row["n"]],
+                pa.schema([("file", pa.string()), ("n", pa.int64()), ("low", pa.int64()), ("high", pa.int64())]))
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    return files.select("path").mapInArrow(ranges, "file string, n bigint, low bigint, high bigint")
+
+
+def _footer_range(name: str, column: str) -> dict[str, int | None]:
+    place, system = for_arrow(name)
+    with pq.ParquetFile(place, filesystem=system) as file:
+        footer = file.metadata
+    at = footer.schema.names.index(column)
+    groups = [footer.row_group(k).column(at) for k in range(footer.num_row_groups) if footer.row_group(k).num_rows]
+    told = all(group.statistics is not None and group.statistics.has_min_max for group in groups)
+    return {"n": footer.num_rows, "low": min((group.statistics.min for group in groups), default=None) if told else None,
+            "high": max((group.statistics.max for group in groups), default=None) if told else None}
+
+
+def broken_ranges(ranges: DataFrame) -> DataFrame:
+    """Ranges that cannot hold values of their own: that reach into an earlier one, are narrower than their number of
+    values, or are not known. One row per file, so their order takes one task."""
+    earlier = Window.orderBy("low", "file").rowsBetween(Window.unboundedPreceding, -1)
+    reach = ranges.withColumn("reached", F.max("high").over(earlier))
+    return reach.where("low IS NULL OR low <= reached OR high - low + 1 < n")

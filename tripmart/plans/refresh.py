@@ -12,7 +12,9 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.operators import rollups
-from tripmart.operators.integrity import IntegrityError, duplicate_keys, orphan_locations
+from tripmart.operators.integrity import (
+    IntegrityError, broken_ranges, duplicate_keys, footer_ranges, orphan_locations,
+)
 from tripmart.plans import gold, silver
 from tripmart.plans.audit import LoadAudit, utc_now
 from tripmart.plans.leases import Lease
@@ -59,12 +61,15 @@ class Refresh:
         partition_trips_by_date: bool = False,
         run_at: datetime | None = None,
         stored_routes: int = gold.TOP_ROUTES,
+        dense_ids: bool = False,
     ):
-        """stored_routes: how many of the most travelled routes the mart keeps."""
+        """stored_routes: how many of the most travelled routes the mart keeps. dense_ids: trips and issues are numbered
+        from 1 without gaps, at the price of writing them twice."""
         self.spark = spark
         self.warehouse = warehouse
         self.partition_trips_by_date = partition_trips_by_date
         self.stored_routes = stored_routes
+        self.dense_ids = dense_ids
         self.audit = LoadAudit(spark, warehouse.audit_path)
         self.run_at = run_at or utc_now()
         self.run_id = new_run_id()
@@ -103,8 +108,11 @@ class Refresh:
             self._expect_unique([(ZONES, zones)])
             counts |= self._together({
                 TRIPS.name: lambda: self._stage_trips(silver.clean_trips(stored.raw_trips, zones, self.run_at)),
-                ISSUES.name: lambda: self._stage(ISSUES, silver.quality_issues(stored.raw_trips, self.run_at)),
+                ISSUES.name: lambda: self._stage(
+                    ISSUES, self._numbered(ISSUES, silver.quality_issues(stored.raw_trips, self.run_at), "issue_id")),
             })
+            for table in (TRIPS, ISSUES) if self.dense_ids else ():
+                self.warehouse.discard(self._unnumbered(table))
             trips = self._staged(TRIPS)
             counts |= self._together({
                 TRIPS_BY_TIME.name: lambda: self._stage(TRIPS_BY_TIME, rollups.by_time(trips)),
@@ -112,6 +120,7 @@ class Refresh:
             })
             # The route rollup holds every location pair of the trips, and is far smaller.
             self._expect_known(self._staged(TRIPS_BY_ROUTE), TRIPS, zones)
+            self._expect_own_ranges({TRIPS: "trip_id", ISSUES: "issue_id"})
             self._publish(tables, lease)
 
     def gold(self) -> None:
@@ -162,10 +171,22 @@ class Refresh:
 
         Then they are rebalanced first: files of even size per date, and a hot date split over many.
         """
+        trips = self._numbered(TRIPS, trips, "trip_id")
         if not self.partition_trips_by_date:
             return self._stage(TRIPS, trips)
         return self._stage(TRIPS, trips.hint("rebalance", "pickup_date"), partition_by="pickup_date")
 
+    def _numbered(self, table: Table, frame: DataFrame, id_column: str) -> DataFrame:
+        """With dense ids, the rows as first written, with their place among all written rows as id."""
+        if not self.dense_ids:
+            return frame
+        path = self._unnumbered(table)
+        frame.write.mode("errorifexists").parquet(path)
+        return silver.number_rows(self.spark.read.schema(frame.schema).parquet(path), id_column)
+
+    def _unnumbered(self, table: Table) -> str:
+        return f"{self.warehouse.path(table.name, self.run_id)}_unnumbered"
+
     def _staged(self, table: Table) -> DataFrame:
         return self.warehouse.read_run(table.name, self.run_id)
 
@@ -186,6 +207,14 @@ class Refresh:
         if repeated:
             raise IntegrityError(f"keys that occur more than once, among others: {repeated}")
 
+    def _expect_own_ranges(self, generated: dict[Table, str]) -> None:
+        """Generated ids hold partition and row number, so no two files of a table may share a range of them."""
+        for table, name in generated.items():
+            ranges = footer_ranges(self.spark, self.warehouse.path(table.name, self.run_id), name)
+            broken = broken_ranges(ranges).take(MAX_LISTED)
+            if broken:
+                raise IntegrityError(f"{table.name}: {name} may not be unique, among others in: {broken}")
+
     def _expect_known(self, references: DataFrame, table: Table, zones: DataFrame) -> None:
         unknown = orphan_locations(references, table.references, zones).take(MAX_LISTED)
         if unknown:

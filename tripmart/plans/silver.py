@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tripmart import functions as fn
 from tripmart.operators.lookup import keep_known_locations
@@ -48,6 +49,21 @@ def clean_trips(raw_trips: DataFrame, zones: DataFrame, created_at: datetime) ->
     return valid.select(*[derived.get(name, F.col(name)).alias(name) for name in TRIPS.column_names])
 
 
+def number_rows(stored: DataFrame, id_column: str) -> DataFrame:
+    """Rows of Parquet files with ids from 1 without gaps: rows of all files before, plus the place in the own file.
+
+    The rows per file are a count without columns. Its sums, one row per file that the driver lists anyway, are
+    broadcast, so rows are neither sorted nor shuffled. Files are in the order of their names, which begin with the number of
+    the task that wrote them, so the same input gives the same ids.
+    """
+    per_file = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_file.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    placed = stored.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    numbered = placed.join(F.broadcast(offsets), "file")
+    return numbered.withColumn(id_column, F.col("offset") + F.col("place") + 1).select(*stored.columns)
+
+
 def quality_issues(raw_trips: DataFrame, detected_at: datetime) -> DataFrame:
     copied = [
         "tpep_pickup_datetime", "tpep_dropoff_datetime", "pulocation_id", "dolocation_id",

@@ -75,6 +75,10 @@ class Warehouse:
             raise IntegrityError(f"{table.name}: {broken}")
         return rows
 
+    def discard(self, path: str) -> None:
+        """Deletes what a run wrote on its way."""
+        self._files.delete(path)
+
     def read_run(self, table: str, run_id: str) -> DataFrame:
         stored = self.spark.read.schema(TABLES[table].schema).parquet(self.path(table, run_id))
         return stored.select(*TABLES[table].column_names)

@@ -15,6 +15,7 @@ from tripmart.plans import gold, questions
 from tripmart.plans.audit import CURRENT_STATE
 from tripmart.files import scratch_path
 from tripmart.plans.mart import DerivedMart
+from tripmart.plans.silver import number_rows
 from tripmart.schemas import RAW_TRIPS, TRIPS, ZONE_PERFORMANCE, ZONES
 from tripmart.sinks import markdown_row, write_csv_files
 from tripmart.sinks.reports import POSITION, markdown_lines
@@ -93,6 +94,27 @@ def documents_through_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.withColumns(whole).withColumn("text_md5", F.md5("text")).drop("text")
 
 
+def generated_key_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges of event ids that overlap, of files written so that some do: every 997th event is in the part after its own."""
+    part = F.expr("event_id div 1000 + int(event_id % 997 = 5)")
+    path = scratch_path(spark, "event-ids")
+    spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", part.alias("part")).write.partitionBy("part").parquet(path)
+    files = integrity.footer_ranges(spark, path, "event_id")
+    parts = files.groupBy(F.regexp_extract("file", "part=([0-9]+)/", 1).cast("bigint").alias("file")).agg(
+        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return integrity.broken_ranges(parts)
+
+
+def numbered_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the dense ids of issues add up, and how they follow the order of the files."""
+    path = scratch_path(spark, "issues")
+    sample_mart(spark, sf_dir).issues.write.parquet(path)
+    numbered = number_rows(spark.read.parquet(path), "issue_id")
+    return numbered.agg(
+        F.count("*").alias("n"), F.min("issue_id").alias("first"), F.max("issue_id").alias("last"),
+        F.count_distinct("issue_id").alias("ids"), F.sum("issue_id").alias("total"))
+
+
 PRODUCTS: dict[str, Callable[[DerivedMart], DataFrame]] = {
     "bronze_trips": lambda mart: mart.raw_trips,
     "bronze_zones": lambda mart: mart.raw_zones,
@@ -153,4 +175,5 @@ def _query(product: Callable[[DerivedMart], DataFrame]) -> Query:
 
 def sample_queries() -> dict[str, Query]:
     products = {name: _query(product) for name, product in PRODUCTS.items()}
-    return {**products, "audit_states": audit_states, "csv_documents": documents_through_csv}
+    return {**products, "audit_states": audit_states, "csv_documents": documents_through_csv,
+            "integrity_generated_keys": generated_key_ranges, "silver_dense_ids": numbered_issues}

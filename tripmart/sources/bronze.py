@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmart.files import for_arrow
 from tripmart.schemas import RAW_TRIPS, RAW_ZONES, Table
 
 # Source columns, lower-cased, whose stored name differs.
@@ -35,7 +36,7 @@ def run_moment(at: datetime, of: Column) -> Column:
     to the code as data, and its place follows from a column, so that it is not folded into a literal again.
     """
     moments = F.array(F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz"))
-    return F.element_at(moments, F.isnull(of).cast("int") * 0 + 1)
+    return F.element_at(moments, F.hash(of).bitwiseAND(0) + 1)
 
 
 def read_trip_files(
@@ -72,8 +73,8 @@ def _schema_groups(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame:
     def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                location = path.removeprefix("file:") if path.startswith("file:") else path
-                schema = pq.read_schema(location) if location.startswith("/") else _remote_schema(location)
+                place, system = for_arrow(path)
+                schema = pq.read_schema(place, filesystem=system)
                 found = sorted((RENAMED.get(field.name.lower(), field.name.lower()), str(field.type))
                                for field in schema if field.name.lower() in declared)
                 yield pa.RecordBatch.from_pylist([
@@ -86,14 +87,6 @@ def _schema_groups(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame:
     return read.groupBy("columns", "kinds").agg(F.array_sort(F.collect_list("file")).alias("files")).orderBy("files")
 
 
-def _remote_schema(location: str) -> pa.Schema:
-    from pyarrow import fs
-
-    scheme, _, rest = location.partition("://")
-    system, path = fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
-    return pq.read_schema(path, filesystem=system)
-
-
 def _declared(frame: DataFrame, missing_as_null: tuple[str, ...]) -> DataFrame:
     """A source frame as declared columns of declared types; those that may be missing are filled with NULL."""
     named = _lower_names(frame).withColumnsRenamed(RENAMED)
