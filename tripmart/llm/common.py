@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import string
 import tempfile
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A working column never meets a user's column of the same name.
-PREFIX = "__llm_"
-
-
-def own(name: str) -> str:
-    return PREFIX + name
+def own(name: str, columns: Iterable[str] = ()) -> str:
+    """A name for a working column that no column of a user's table has."""
+    prefix, taken = "__llm_", [column.lower() for column in columns]
+    while any(column.startswith(prefix) for column in taken):
+        prefix += "_"
+    return prefix + name
 
 
 def text_key(text: Column) -> Column:

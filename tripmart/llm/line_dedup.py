@@ -8,8 +8,8 @@ return to their documents by a join that adaptive execution splits.
 
 Defined results: lines end at "\\n" only. A text of fewer lines than `width`, empty or null, has no window and stays as
 it is. Null ids order first. Rows repeated with the same id and text count as one occurrence, so they are treated
-alike. A text all of whose lines go becomes empty; the row stays. Columns of the input are kept,
-but for n_lines and n_removed, which are replaced.
+alike. A text all of whose lines go becomes empty; the row stays. Texts of any length are taken whole. An empty table gives no
+rows. Columns of the input are kept, whatever their names, but for n_lines and n_removed, which are replaced.
 """
 
 from __future__ import annotations
@@ -44,7 +44,8 @@ def remove_repeated_lines(
     docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH
 ) -> DataFrame:
     """The documents with their remaining text, and the columns n_lines and n_removed at the end."""
-    doc, key, lines = own("doc"), own("key"), own("lines")
+    doc, key, lines, of, of_key, covers = (
+        own(name, docs.columns) for name in ("doc", "key", "lines", "of", "of_key", "covered"))
     text = F.col(text_column)
     keyed = docs.withColumns({key: text_key(text), doc: F.col(id_column)})
     occurrences = (
@@ -63,18 +64,18 @@ def remove_repeated_lines(
         occurrences.join(repeated, ["h1", "h2"])
         .where(where > F.col("first"))
         .groupBy("doc", "key").agg(F.collect_set("at").alias("starts"))
-        .select(F.col("doc").alias(own("of")), F.col("key").alias(own("of_key")), "starts")
+        .select(F.col("doc").alias(of), F.col("key").alias(of_key), "starts")
     )
     covered = F.flatten(F.transform("starts", lambda at: F.sequence(at, at + width - 1)))
-    found = later.select(own("of"), own("of_key"), F.array_distinct(covered).alias(own("covered")))
-    n_lines, gone = F.size(F.col(lines)), F.col(own("covered"))
+    found = later.select(of, of_key, F.array_distinct(covered).alias(covers))
+    n_lines, gone = F.size(F.col(lines)), F.col(covers)
     stay = F.array_except(F.sequence(F.lit(0), n_lines - 1), gone)
     remaining = bound(F.col(lines), lambda kept: F.array_join(F.transform(stay, lambda at: F.get(kept, at)), "\n"))
     return (
-        keyed.join(found, F.col(doc).eqNullSafe(F.col(own("of"))) & (F.col(key) == F.col(own("of_key"))), "left")
+        keyed.join(found, F.col(doc).eqNullSafe(F.col(of)) & (F.col(key) == F.col(of_key)), "left")
         .withColumn(lines, F.split(text, "\n", -1))
         .select(
-            *[F.when(gone.isNull(), text).otherwise(remaining).alias(name) if name == text_column else docs[name]
+            *[F.when(gone.isNull(), text).otherwise(remaining).alias(name) if name == text_column else F.col(f"`{name}`")
               for name in docs.columns if name not in ("n_lines", "n_removed")],
             F.coalesce(F.when(text.isNotNull(), n_lines), F.lit(0)).alias("n_lines"),
             F.coalesce(F.when(gone.isNotNull(), F.size(gone)), F.lit(0)).alias("n_removed"),

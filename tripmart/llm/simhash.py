@@ -277,7 +277,7 @@ def one_of_each(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
                 bits: int = BITS, seed: int = SEED) -> DataFrame:
     """The documents without near-duplicates: of each component the row of the smallest id (null ids last) and, of
     rows with one id, the smallest text key; of equal rows one."""
-    key, kept_id, kept_key = own("key"), own("kept_id"), own("kept_key")
+    key, kept_id, kept_key = (own(name, docs.columns) for name in ("key", "kept_id", "kept_key"))
     found = near_duplicates(docs, id_column=id_column, text_column=text_column, shingle=shingle, bits=bits, seed=seed,
                             keep=(text_key(F.col(text_column)).alias("key"),))
     # Null ids sort first among structs, so the flag goes before.
