@@ -4,11 +4,13 @@ Leaves are the records of one id: how many, how many bytes, and the SHA-256 of e
 (records of one id are combined by sums, so their order does not matter and no group of them is collected). A node
 covers an ordered range of ids and so of offsets, and hashes its children in order, at most 64 of them. Both trees
 have ranges of the same ids, so a missing record does not shift what follows. The audit compares the roots and then,
-level by level, only children of nodes that differ, down to the damaged records; the bytes of all siblings before
+level by level, only children of nodes that differ, down to the damaged records: either side of a level is reduced to
+them before the sides are joined, and the audit ends at the first level without any. The bytes of all siblings before
 them add up to their offset in each replica.
 
 Defined results: null content is an empty record, unlike a missing one (the length says so). Records with null id make
 a leaf after all others. Empty replicas: every record of the other is missing or extra. Equal roots: no rows.
+Content of any length is hashed whole. Only the columns named are read.
 """
 
 from __future__ import annotations
@@ -88,6 +90,9 @@ def audit(
             nodes = levels[depth].select(
                 "node", "is_null", F.col("n_records").alias(f"{side}_records"), F.col("n_bytes").alias(f"{side}_bytes"),
                 F.col("hash").alias(f"{side}_hash"))
+            if suspects is not None:  # children of nodes that differ, before anything is joined
+                below = nodes.withColumn("up", F.shiftright("node", FAN_BITS))
+                nodes = below.join(suspects.select("up", "is_null"), ["up", "is_null"], "left_semi").drop("up")
             sides.append(nodes)
         children = sides[0].join(sides[1], ["node", "is_null"], "full")
         if suspects is None:
@@ -108,6 +113,8 @@ def audit(
         if depth:
             suspects = shared(found.select(F.col("node").alias("up"), "is_null",
                                            F.col("left_at").alias("left_before"), F.col("right_at").alias("right_before")))
+            if suspects.isEmpty():
+                break
     here = lambda side, name: F.when(F.col(f"{side}_hash").isNotNull(), F.col(f"{side}_{name}"))
     return found.select(
         F.when(~F.col("is_null"), F.col("node")).alias("id"), status().alias("status"),
