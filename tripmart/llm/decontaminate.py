@@ -5,7 +5,8 @@
 3. A second pass stores postings (word, text, position, and the words around it) of the rarest word of each window,
    already intersected with the offset-adjusted list of its second rarest word.
 4. Postings join windows on the rarest word; the remaining words are compared at their offsets. What is left are exact
-   phrase matches or, with `slop`, proximity matches: all words of the window within `width + slop` consecutive words.
+   phrase matches or, with `slop`, proximity matches: stretches of at most `slop` words more than the window has, which
+   begin and end with words of the window and hold every word as often as the window does. Every stretch counts.
 
 Tasks know which words to keep from two bit maps of fixed size (512 KB each). Bit collisions only store postings that
 the join drops; a larger benchmark fills the maps and costs speed, never rows. Hot words and copies: counts combine
@@ -13,7 +14,8 @@ within tasks, the joins are equi-joins that adaptive execution splits, and match
 
 Defined results: null texts have no words. Items without words have no window. Repeated items or windows count once;
 an item with null id can hit words but is not listed. Each input row gets one output row. Words are compared by 64-bit
-hashes, whole windows therefore by 640 bits.
+hashes, whole windows therefore by 640 bits. Very long texts are taken whole. Without items nothing matches; without
+documents there are no rows. Only the columns named are read.
 """
 
 from __future__ import annotations
@@ -183,14 +185,20 @@ def find_matches(
         matched = matched.select("key", (F.col("at") - F.col("rare_at")).alias("start"), length.alias("length"), "window")
     else:
         span = length + slop
+        inside = lambda word: F.array_contains("window", word)
+        often = lambda words, term: F.size(F.filter(words, lambda word: word == term))
+        # Places of `around` that lie beyond the text hold 0; they are no words and end a span.
         spans = F.transform(
             F.sequence(F.greatest(F.lit(1), radius + 2 - span), F.lit(radius + 1)),
             lambda first: F.struct(first.alias("first"), F.slice("around", first, span).alias("words")),
         )
-        whole = F.filter(spans, lambda one: F.size(F.array_except("window", one["words"])) == 0)
-        matched = candidates.withColumn("spans", whole).where(F.size("spans") > 0).select(
-            "key", (F.col("at") + F.col("spans")[0]["first"] - (radius + 1)).alias("start"),
-            span.alias("length"), "window",
+        whole = F.filter(spans, lambda one: F.forall("window", lambda term: often(one["words"], term) >= often(F.col("window"), term)))
+        ends = F.transform(whole, lambda one: F.struct(
+            one["first"].alias("first"),
+            F.filter(F.transform(one["words"], lambda word, at: F.when(inside(word), at)), lambda at: at.isNotNull()).alias("places")))
+        matched = candidates.select("key", "at", "window", F.explode(ends).alias("one")).select(
+            "key", (F.col("at") + F.col("one.first") - (radius + 1) + F.col("one.places")[0]).alias("start"),
+            (F.element_at("one.places", -1) - F.col("one.places")[0] + 1).alias("length"), "window",
         )
     documents = indexed.where(F.col("n_words").isNotNull()).select("row", "key", "n_words")
     return Matches(documents, matched.distinct(), windows)
