@@ -72,29 +72,42 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, most: f
 
 
 def balanced_rates(classes: DataFrame, targets: DataFrame, most: float = MOST, tolerance: float = 1e-12) -> DataFrame:
-    """classes: (source, base, tokens). Gives the rate of each class; Newton's steps on the logarithm of the tokens
-    taken, which is concave in lambda, so they converge from anywhere."""
-    state = shared(targets.select(F.col("source").alias("of"), "target", F.lit(0.0).alias("tilt"),
-                                  F.lit(False).alias("full")))
+    """classes: (source, base, tokens). Gives the rate of each class. The tokens a source takes grow with its tilt, so
+    every tilt tried bounds the root from one side. Newton's steps on their logarithm find it; where a step leaves the
+    bounds, or the last one has not halved the error, the bounds are halved instead, and as long as one side has no
+    bound, its distance doubles. So the rounds are bounded by the digits of the tilt, whatever the bases."""
+    none = F.lit(None).cast("double")
+    state = shared(targets.select(F.col("source").alias("of"), "target", F.lit(0.0).alias("tilt"), none.alias("low"),
+                                  none.alias("high"), none.alias("off"), F.lit(False).alias("full")))
     same = F.col("source").eqNullSafe(F.col("of"))
     tilted = F.col("base") * F.exp("tilt")
     while True:
         held = F.col("tokens") * F.least(tilted, F.lit(most))
         sums = (
-            classes.join(state, same).groupBy("of", "target", "tilt")
+            classes.join(state, same).groupBy("of", "target", "tilt", "low", "high", F.col("off").alias("last"))
             .agg(F.sum(held).alias("held"), F.sum(F.when(tilted < most, held).otherwise(0.0)).alias("moves"),
                  F.sum(F.col("tokens") * most).alias("limit"))
         )
         full = F.col("target") >= F.col("limit") * (1 - tolerance)
-        apart = (F.col("held") > 0) & (F.col("target") > 0) & ~full
-        # Where all rates are at the limit, no step is known: go back.
-        step = F.coalesce(
-            F.when(F.col("moves") > 0, F.log(F.col("target") / F.col("held")) * F.col("held") / F.col("moves")), F.lit(-1.0))
+        few = F.col("held") < F.col("target")
+        sums = sums.withColumns({
+            "full": full, "low": F.when(few, F.col("tilt")).otherwise(F.col("low")),
+            "high": F.when(few, F.col("high")).otherwise(F.col("tilt")),
+            "off": F.when((F.col("held") > 0) & (F.col("target") > 0) & ~full, F.abs(F.col("held") / F.col("target") - 1)).otherwise(0.0),
+            # Where all rates are at the limit, no step is known.
+            "newton": F.when(F.col("moves") > 0, F.col("tilt") + F.log(F.col("target") / F.col("held")) * F.col("held") / F.col("moves")),
+        })
+        far = F.greatest(F.lit(1.0), F.abs("tilt"))
+        inside = ((F.col("low").isNull() | (F.col("newton") > F.col("low")))
+                  & (F.col("high").isNull() | (F.col("newton") < F.col("high"))))
+        slow = F.col("low").isNotNull() & F.col("high").isNotNull() & (F.col("off") > F.col("last") / 2)
+        following = (F.when(F.col("newton").isNotNull() & inside & ~F.coalesce(slow, F.lit(False)), F.col("newton"))
+                     .otherwise(F.coalesce((F.col("low") + F.col("high")) / 2, F.col("tilt") + F.when(few, far).otherwise(-far))))
+        narrow = F.coalesce(F.col("high") - F.col("low") <= 1e-15 * far, F.lit(False))
         stepped = shared(sums.select(
-            "of", "target", F.when(apart, F.col("tilt") + step).otherwise(F.col("tilt")).alias("tilt"), full.alias("full"),
-            F.when(apart, F.abs(F.col("held") / F.col("target") - 1)).otherwise(0.0).alias("off"),
-        ))
-        state, off = stepped.drop("off"), stepped.agg(F.max("off")).first()[0]
+            "of", "target", "low", "high", "full", F.when(narrow, 0.0).otherwise(F.col("off")).alias("off"),
+            F.when((F.col("off") > 1e-9) & ~narrow, following).otherwise(F.col("tilt")).alias("tilt")))
+        state, off = stepped, stepped.agg(F.max("off")).first()[0]
         if off is None or off <= 1e-9:
             break
     rate = F.when(F.col("full"), F.lit(most)).otherwise(F.least(tilted, F.lit(most)))
