@@ -62,6 +62,40 @@ def contaminated(docs, items, width=10):
     return out
 
 
+def near(docs, items, width, slop):
+    """(doc, words, hit words, items) with all words of a window within a stretch of its size plus `slop`, in any order."""
+    out = []
+    for doc, text in docs:
+        found, hit, ids = words(text), set(), set()
+        for item, item_text in items:
+            terms = words(item_text)
+            for first in range(max(1, len(terms) - width + 1) if terms else 0):
+                window = Counter(terms[first:first + width])
+                reach = sum(window.values()) + slop
+                for start in range(len(found)):
+                    for end in range(start + 1, min(start + reach, len(found)) + 1):
+                        if found[start] in window and found[end - 1] in window and window <= Counter(found[start:end]):
+                            hit |= set(range(start, end))
+                            ids.add(str(item))
+        out.append((doc, len(found), len(hit), sorted(ids)))
+    return out
+
+
+def mixing_targets(sizes, weights=(5, 2, 1), most=3):
+    """sizes: words of each source. What each source should have."""
+    weight = {name: weights[k % len(weights)] for k, name in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
+    left, rest, out = sum(sizes.values()), set(sizes), {}
+    while rest:
+        share = left / sum(weight[name] for name in rest)
+        above = {name for name in rest if weight[name] * share > most * sizes[name]}
+        if not above:
+            return out | {name: weight[name] * share for name in rest}
+        out |= {name: float(most * sizes[name]) for name in above}
+        left -= sum(out[name] for name in above)
+        rest -= above
+    return out
+
+
 def repeated_bytes(texts, length):
     """(bytes, removed runs, kept) of each text."""
     data = [(text or "").encode() for text in texts]
@@ -104,7 +138,7 @@ def components(nodes, near):
     return {n: find(n) for n in nodes}
 
 
-def log_scores(texts, order=2, backoff=0.4, min_count=2):
+def log_scores(texts, order=2, backoff=0.4, min_count=1):
     tokens = [words(t) for t in texts]
     count = Counter(tuple(t[k:k + n]) for t in tokens for n in range(1, order + 1) for k in range(len(t) - n + 1))
     total = sum(map(len, tokens))

@@ -18,6 +18,7 @@ import plain  # noqa: E402
 from tripmart.llm import (  # noqa: E402
     decontaminate, fixity, line_dedup, lm_score, mixing, quality_rules, simhash, suffix_dedup, topk, url_filter,
 )
+from tripmart.llm.common import shared  # noqa: E402
 from tripmart.llm.components import smallest_reachable  # noqa: E402
 
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block")]
@@ -84,6 +85,19 @@ def test_repeated_rows_and_null_ids_of_lines(spark):
     assert line_dedup.remove_repeated_lines(docs.limit(0)).collect() == []
 
 
+def test_line_dedup_and_one_of_each_take_columns_of_any_name(spark):
+    names = {name: F.lit(k) for k, name in enumerate(["__llm_key", "__LLM_lines", "__llm_doc", "__llm__of", "a.b", "starts", "h1", "key"])}
+    docs = plain.documents(spark, ["1\n2\n3\n4", "0\n1\n2\n3", "1\n2\n3\n4"])
+    odd = docs.withColumns(names)
+    deduped, expected = line_dedup.remove_repeated_lines(odd), line_dedup.remove_repeated_lines(docs)
+    assert deduped.columns == [*odd.columns, "n_lines", "n_removed"]
+    assert sorted(deduped.select(*expected.columns).collect()) == sorted(expected.collect())
+    assert [row[6] for row in deduped.select(*[f"`{name}`" for name in deduped.columns]).select("`__LLM_lines`").distinct().select(
+        *["`__LLM_lines`"] * 7).collect()] == [1]
+    kept = simhash.one_of_each(odd.drop("a.b"))
+    assert kept.columns == odd.drop("a.b").columns and kept.count() == simhash.one_of_each(docs).count()
+
+
 # Quality classifier
 
 def test_printed_trees_become_tight_rules():
@@ -151,8 +165,37 @@ def test_proximity_allows_words_between_and_any_order(spark):
     assert got == {1: True, 2: True, 3: False, 4: False}
 
 
+@pytest.mark.parametrize("slop", [1, 2, 4])
+def test_proximity_like_plain_python(spark, slop):
+    picks = random.Random(slop)
+    some = lambda n: " ".join(picks.choice(["a", "b", "c", "d", "e"]) for _ in range(n))
+    items = [(1, "a b"), (2, "red red green"), (3, some(5)), (4, "a"), (5, some(3)), (6, "e e e"), (7, "")]
+    docs = [(k, some(picks.randint(0, 25))) for k in range(30)] + [(100, "a b"), (101, "red green blue"), (102, "green red x red"),
+            (103, None), (104, "b x x x x a"), (105, "a b " * 40), (106, "x red x red x green x red")]
+    found = hits(spark, docs, items, width=4, slop=slop)
+    assert found == sorted(plain.near(docs, items, 4, slop), key=repr)
+    assert all(n_hit <= n_words for _, n_words, n_hit, _ in found)
+
+
 # Fixity audit
 
+
+def test_audit_goes_down_damaged_branches_only(spark, monkeypatch):
+    rows = spark.createDataFrame([(k, f"u{k}", "x") for k in range(70_000)], "page_id bigint, url string, html string")
+    other = rows.withColumn("html", F.when(F.col("page_id") == 12_345, "y").otherwise(F.col("html")))
+    written = []
+    monkeypatch.setattr(fixity, "shared", lambda frame: written.append(shared(frame)) or written[-1])
+    found = fixity.audit(rows, other)
+    assert [(r["id"], r["status"], r["primary_offset"]) for r in found.collect()] == [
+        (12_345, "changed", sum(len(f"u{k}") + 1 for k in range(12_345)))]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") == 2 and plan.index("FullOuter") < plan.index("LeftSemi")
+    suspects = [frame.count() for frame in written if "left_before" in frame.columns]
+    assert suspects == [1] * len(suspects) and len(suspects) >= 3
+    written.clear()
+    assert fixity.audit(rows, rows).collect() == []
+    assert [frame.count() for frame in written if "left_before" in frame.columns] == [0]
+
 def test_audit_finds_all_damage_and_its_offsets(spark):
     rows = [(k, f"u{k}", "x" * (k % 50)) for k in range(-70, 5000, 3)] + [(None, "n", None), (8, "again", "z"), (8, "again", "z")]
     other = [r for r in rows if r[0] != 500] + [(501, "new", "new")]
@@ -334,6 +377,19 @@ def test_whole_rates_get_no_further_copy(spark):
     assert list(mixing.further_copies(classes)["given"]) == [0, 0, 19]
 
 
+def test_rounds_are_bounded_whatever_the_bases(spark, monkeypatch):
+    """Two classes of which the large one is at its limit long before the other one moves."""
+    rounds = []
+    monkeypatch.setattr(mixing, "shared", lambda frame: rounds.append(1) or shared(frame))
+    for base, target in ((1e-3, 3001.5), (1e-6, 3001.5), (1e-6, 1.0), (1e6, 2.0)):
+        classes = spark.createDataFrame([("a", 1.0, 1000.0), ("a", base, 1.0)], "source string, base double, tokens double")
+        targets = spark.createDataFrame([("a", target)], "source string, target double")
+        rounds.clear()
+        rates = {r["base"]: r["rate"] for r in mixing.balanced_rates(classes, targets).collect()}
+        assert 1000 * rates[1.0] + rates[base] == pytest.approx(target, rel=1e-8)
+        assert len(rounds) <= 70
+
+
 # Top-k
 
 def test_top_k_like_numpy(spark):

@@ -2,7 +2,9 @@
 
 import hashlib
 import os
+import re
 import sys
+from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -104,3 +106,22 @@ def test_pipeline_like_plain_python(spark):
     assert set(stages["benchmark_free"]) == clean == set(stages["mixture"])
     again = {r["doc_id"]: r for r in corpus_pipeline.run(spark, SMALL).collect()}
     assert again == stages["mixture"]
+
+
+def test_mixture_like_plain_python(spark):
+    found = llm_queries()["op8_mixing"](spark, SF_DIR).collect()
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "source").collect()
+    size = {d["doc_id"]: len(re.findall("[^\x20\x09-\x0d]+", d["text"] or "")) for d in documents}
+    source = {d["doc_id"]: d["source"] for d in documents}
+    assert {r["doc_id"]: r["size"] for r in found} == size and len(found) == len(documents)
+    whole, taken = Counter(), Counter()
+    for doc, words in size.items():
+        whole[source[doc]] += words
+    targets = plain.mixing_targets(whole)
+    for row in found:
+        name = source[row["doc_id"]]
+        assert row["source_size"] == whole[name] and row["target"] == pytest.approx(targets[name], rel=1e-9)
+        assert row["taken"] % max(1, row["size"]) == 0 and row["taken"] <= 3 * row["size"]
+        taken[name] += row["taken"]
+    for name, target in targets.items():
+        assert taken[name] == pytest.approx(target, abs=max(d for k, d in size.items() if source[k] == name))

@@ -116,8 +116,7 @@ WITH docs AS (
 ), ones AS (SELECT w, count(*)::DOUBLE AS n FROM words GROUP BY w
 ), twos AS (SELECT v, w, count(*)::DOUBLE AS n FROM words WHERE v IS NOT NULL GROUP BY v, w
 ), scored AS (
-    SELECT doc_id, CASE WHEN words.v IS NULL THEN ln(one.n / total) WHEN twos.n >= 2 THEN ln(twos.n / before.n)
-                        ELSE ln(0.4) + ln(one.n / total) END AS s
+    SELECT doc_id, CASE WHEN words.v IS NULL THEN ln(one.n / total) ELSE ln(twos.n / before.n) END AS s
     FROM words JOIN ones one USING (w) LEFT JOIN ones before ON before.w = words.v
     LEFT JOIN twos ON twos.v = words.v AND twos.w = words.w, (SELECT sum(n) AS total FROM ones)
 ), sums AS (SELECT doc_id, avg(s) AS s FROM scored GROUP BY doc_id)
