@@ -20,6 +20,8 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--reports", help="directory for report files (default: <warehouse>/reports)")
     parser.add_argument("--bronze-only", action="store_true", help="load the raw tables and stop")
     parser.add_argument("--partition-by-date", action="store_true", help="lay out cleaned trips by pickup date")
+    parser.add_argument("--cluster-by-zones", action="store_true",
+                        help="lay out cleaned trips by pickup and dropoff zone")
     parser.add_argument("--drop-old-runs", action="store_true", help="afterwards delete tables of earlier runs")
     parser.add_argument("--register", action="store_true", help="make tables and views known to SQL by name")
     parser.add_argument("--stored-routes", type=int, default=TOP_ROUTES, help="routes the mart keeps (default: %(default)s)")
@@ -36,7 +38,7 @@ def main(arguments: list[str] | None = None) -> int:
     for dead in warehouse.reap():
         print(f"{dead}: ended, its process had died")
     refresh = Refresh(spark, warehouse, options.partition_by_date, stored_routes=options.stored_routes,
-                      dense_ids=options.dense_ids)
+                      dense_ids=options.dense_ids, cluster_trips_by_zones=options.cluster_by_zones)
     trips = read_trip_files(spark, *options.trips, missing_as_null=tuple(options.missing_as_null), one_schema=options.one_schema)
     zones = read_zone_files(spark, *options.zones)
     if options.bronze_only:

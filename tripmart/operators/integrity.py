@@ -64,6 +64,12 @@ def duplicate_keys(frames: list[tuple[Table, DataFrame]]) -> DataFrame:
     )
 
 
+def repeated_ids(frame: DataFrame, id_column: str) -> DataFrame:
+    """Ids that occur more than once, by an aggregation of the ids alone: for rows that a shuffle has dealt anew, whose
+    files no longer have ranges of their own."""
+    return frame.groupBy(id_column).agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1")
+
+
 def orphan_locations(references: DataFrame, columns: tuple[str, ...], zones: DataFrame) -> DataFrame:
     """Location ids that are used but not declared. A missing id refers to nothing and is allowed."""
     used = references.select(F.explode(F.array(*columns)).alias("location_id")).where("location_id IS NOT NULL")

@@ -170,6 +170,9 @@ _SELECTS = {
         FROM (SELECT count(*) AS n FROM issues)""",
     "silver_zones": "SELECT location_id, borough, zone, service_zone FROM zones",
     "silver_trips": f"SELECT {_TRIP} FROM clean",
+    "silver_trips_of_a_zone": f"""
+        SELECT {_TRIP}, 'pickup_location_id' AS looked_up FROM clean WHERE pu = 7
+        UNION ALL SELECT {_TRIP}, 'dropoff_location_id' FROM clean WHERE dol = 7""",
     "silver_issues": """
         SELECT error_type, description, CAST(pickup AS varchar) AS pickup_datetime,
                CAST(dropoff AS varchar) AS dropoff_datetime, pu AS pulocation_id, dol AS dolocation_id,

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripmart.operators import rollups
 from tripmart.operators.integrity import (
-    IntegrityError, broken_ranges, duplicate_keys, footer_ranges, orphan_locations,
+    IntegrityError, broken_ranges, duplicate_keys, footer_ranges, orphan_locations, repeated_ids,
 )
+from tripmart.operators.layout import clustered
 from tripmart.plans import gold, silver
 from tripmart.plans.audit import LoadAudit, utc_now
 from tripmart.plans.leases import Lease
@@ -62,14 +63,17 @@ class Refresh:
         run_at: datetime | None = None,
         stored_routes: int = gold.TOP_ROUTES,
         dense_ids: bool = False,
+        cluster_trips_by_zones: bool = False,
     ):
         """stored_routes: how many of the most travelled routes the mart keeps. dense_ids: trips and issues are numbered
-        from 1 without gaps, at the price of writing them twice."""
+        from 1 without gaps, at the price of writing them twice. cluster_trips_by_zones: files of trips hold few pickup
+        and few dropoff zones, at the price of a shuffle; by date as well, they do so within each date."""
         self.spark = spark
         self.warehouse = warehouse
         self.partition_trips_by_date = partition_trips_by_date
         self.stored_routes = stored_routes
         self.dense_ids = dense_ids
+        self.cluster_trips_by_zones = cluster_trips_by_zones
         self.audit = LoadAudit(spark, warehouse.audit_path)
         self.run_at = run_at or utc_now()
         self.run_id = new_run_id()
@@ -167,12 +171,15 @@ class Refresh:
         return rows
 
     def _stage_trips(self, trips: DataFrame) -> int:
-        """Trips are written where they are read, without a shuffle, unless laid out by date.
+        """Trips are written where they are read, without a shuffle, unless laid out by date or zones.
 
-        Then they are rebalanced first: files of even size per date, and a hot date split over many.
+        By date they are rebalanced first: files of even size per date, and a hot date split over many.
         """
         trips = self._numbered(TRIPS, trips, "trip_id")
-        if not self.partition_trips_by_date:
+        dated = ["pickup_date"] if self.partition_trips_by_date else []
+        if self.cluster_trips_by_zones:
+            return self._stage(TRIPS, clustered(trips, *dated), *dated)
+        if not dated:
             return self._stage(TRIPS, trips)
         return self._stage(TRIPS, trips.hint("rebalance", "pickup_date"), partition_by="pickup_date")
 
@@ -208,8 +215,14 @@ class Refresh:
             raise IntegrityError(f"keys that occur more than once, among others: {repeated}")
 
     def _expect_own_ranges(self, generated: dict[Table, str]) -> None:
-        """Generated ids hold partition and row number, so no two files of a table may share a range of them."""
+        """Generated ids hold partition and row number, so no two files of a table may share a range of them. Trips
+        that were laid out lie in other files than they were numbered in, so their ids are counted."""
         for table, name in generated.items():
+            if table is TRIPS and (self.partition_trips_by_date or self.cluster_trips_by_zones):
+                repeated = repeated_ids(self._staged(table), name).take(MAX_LISTED)
+                if repeated:
+                    raise IntegrityError(f"{table.name}: {name} is not unique, among others in: {repeated}")
+                continue
             ranges = footer_ranges(self.spark, self.warehouse.path(table.name, self.run_id), name)
             broken = broken_ranges(ranges).take(MAX_LISTED)
             if broken:

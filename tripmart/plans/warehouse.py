@@ -22,6 +22,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tripmart.operators.integrity import IntegrityError, row_metrics
+from tripmart.operators.layout import look_up
 from tripmart.plans.audit import CURRENT_STATE, LoadAudit, utc_now
 from tripmart.files import SharedFiles
 from tripmart.plans.leases import EXPIRY, Lease, Leases
@@ -94,6 +95,12 @@ class Warehouse:
 
         return read
 
+    def look_up(self, table: str, column: str, value: int) -> DataFrame:
+        """Published rows that have a value of an integer column, from the files whose footers allow it. Few do so if the
+        table is laid out by that column."""
+        run_id = self.current_runs()[table]
+        return look_up(self.spark, self.path(table, run_id), self.read_run(table, run_id), column, value)
+
     def publish(self, run_id: str, tables: list[str]) -> None:
         """Makes one run the current one of all ``tables`` at once. Refused if a table of the run is not there whole,
         or if one already shows a run that started later."""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.operators import integrity
+from tripmart.operators.layout import clustered, look_up
 from tripmart.plans import gold, questions
 from tripmart.plans.audit import CURRENT_STATE
 from tripmart.files import scratch_path
@@ -115,6 +116,17 @@ def numbered_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_distinct("issue_id").alias("ids"), F.sum("issue_id").alias("total"))
 
 
+def trips_of_a_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All trips from zone 7 and all trips to it, looked up in files that are laid out by both zones."""
+    path = scratch_path(spark, "trips-by-zones")
+    trips = sample_mart(spark, sf_dir).trips
+    clustered(trips, files=32).write.parquet(path)
+    stored = spark.read.schema(trips.schema).parquet(path)
+    found = [look_up(spark, path, stored, column, 7).withColumn("looked_up", F.lit(column))
+             for column in ("pickup_location_id", "dropoff_location_id")]
+    return comparable(found[0].unionByName(found[1]))
+
+
 PRODUCTS: dict[str, Callable[[DerivedMart], DataFrame]] = {
     "bronze_trips": lambda mart: mart.raw_trips,
     "bronze_zones": lambda mart: mart.raw_zones,
@@ -176,4 +188,5 @@ def _query(product: Callable[[DerivedMart], DataFrame]) -> Query:
 def sample_queries() -> dict[str, Query]:
     products = {name: _query(product) for name, product in PRODUCTS.items()}
     return {**products, "audit_states": audit_states, "csv_documents": documents_through_csv,
-            "integrity_generated_keys": generated_key_ranges, "silver_dense_ids": numbered_issues}
+            "integrity_generated_keys": generated_key_ranges, "silver_dense_ids": numbered_issues,
+            "silver_trips_of_a_zone": trips_of_a_zone}
