@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tripmart.llm import decontaminate, line_dedup, mixing, quality_rules, simhash
-from tripmart.llm.common import read_table, shared_folder, text_key
-from tripmart.llm.queries import quality_model
+from tripmart.llm.common import read_table, shared, shared_folder, stored, text_key
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -24,10 +23,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go: those whose score is below the threshold."""
-    model, _ = quality_model(spark, docs, sf_dir)
-    scored = docs.select(*COLUMNS, model.score(quality_rules.statistics(F.col("text"))).alias("score_"))
-    return scored.where(F.col("score_") >= quality_rules.THRESHOLD).select(*COLUMNS)
+    """Rejected documents go: those whose score is below the threshold. Statistics are worked out once and written beside
+    the documents, as they cost far more than another copy of the texts; fitting reads none of the texts."""
+    measured = stored(quality_rules.with_statistics(docs, *COLUMNS), f"measured-{uuid.uuid4().hex}")
+    labels = read_table(spark, sf_dir, "labels")
+    training = shared(quality_rules.training_rows(measured.select("doc_id", *quality_rules.NAMES), labels))
+    model = quality_rules.fit_rules(training, "label_")
+    score = model.score({name: F.col(name) for name in quality_rules.NAMES})
+    return measured.where(score >= quality_rules.THRESHOLD).select(*COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
