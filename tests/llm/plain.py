@@ -3,8 +3,9 @@
 import hashlib
 import re
 from collections import Counter, defaultdict
-from math import log
+from math import exp, log
 
+import regex
 import xxhash
 
 DOCUMENT = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -176,3 +177,37 @@ def collocations(docs, min_count=10, top=2000, percent=50):
             scored[lang].append((-score, -a, " ".join(p).encode(), l, r))
     return [(lang, rank, p.decode(), -a, l, r, sizes[lang], -s)
             for lang, some in scored.items() for rank, (s, a, p, l, r) in enumerate(sorted(some)[:top], 1)]
+
+
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def statistics(text):
+    """The statistics of the quality classifier, by name."""
+    text = text or ""
+    tokens = [word for word in re.split(f"[{SPACE}]+", text) if word]
+    lines = [line for line in text.split("\n") if line.strip(" ")]
+    n_chars, n_words, n_lines = max(1, len(text)), max(1, len(tokens)), max(1, len(lines))
+    count = lambda pattern: len(regex.findall(pattern, text))
+    alike = sum(a == b for a, b in zip(bounded(text), bounded(text)[1:], strict=False) if a)
+    return {
+        "log_words": log(1 + len(tokens)), "word_length": len(text) / n_words, "capitals": count(r"\p{Lu}") / n_chars,
+        "digits": count(r"\p{Nd}") / n_chars, "symbols": count(rf"[^\p{{L}}\p{{M}}\p{{Nd}}{SPACE}.,]") / n_chars,
+        "bars": text.count("|") / n_words, "marked_words": count(rf"[^\p{{L}}\p{{M}}\p{{Nd}}{SPACE}]{{2,}}+") / n_words,
+        "stutter": alike / n_words, "distinct_words": len(set(tokens)) / n_words,
+        "distinct_lines": len(set(lines)) / n_lines, "line_words": len(tokens) / n_lines,
+    }
+
+
+def bounded(text):
+    """Words and, between words that more than one blank parts, empty ones."""
+    return re.split(f"[{SPACE}]", text)
+
+
+def rule_score(intercept, rules, stats):
+    """The logistic score of weighted rules whose conditions all hold."""
+    total = intercept
+    for conditions, weight in rules:
+        if all(stats[name] <= bound if sign == "<=" else stats[name] > bound for name, sign, bound in conditions):
+            total += weight
+    return 1 / (1 + exp(-total))

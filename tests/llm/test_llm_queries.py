@@ -4,6 +4,7 @@ import hashlib
 import os
 import re
 import sys
+import zlib
 from collections import Counter
 from pathlib import Path
 
@@ -16,7 +17,7 @@ import plain  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from tripmart.llm.oracle import llm_oracles  # noqa: E402
-from tripmart.llm.queries import llm_queries  # noqa: E402
+from tripmart.llm.queries import llm_queries, quality_model  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 SMALL = "/root/testdata/sf0.001"
@@ -61,6 +62,22 @@ def test_quality_on_held_out_labels(spark):
     assert found.score.between(0, 1).all()
 
 
+def test_quality_like_plain_python(spark):
+    """Every statistic, every score from the fitted rules, and the rows that no label is learned from."""
+    model, stats = quality_model(spark, spark.read.parquet(f"{SF_DIR}/documents.parquet"), SF_DIR)
+    assert model.rules
+    own = {doc: plain.statistics(text) for doc, text in texts(spark).items()}
+    measured = {r["doc_id"]: r for r in stats.collect()}
+    assert set(measured) == set(own)
+    for doc, expected in own.items():
+        assert {name: measured[doc][name] for name in expected} == pytest.approx(expected, rel=1e-12)
+    for row in llm_queries()["op3_quality"](spark, SF_DIR).collect():
+        score = plain.rule_score(model.intercept, model.rules, own[row["doc_id"]])
+        assert row["score"] == pytest.approx(score, abs=1e-6)
+        assert row["held_out"] == (zlib.crc32(str(row["doc_id"]).encode()) % 5 == 0)
+        assert row["predicted"] == int(row["score"] >= 0.3)
+
+
 def test_suffix_dedup_like_plain_python(spark):
     found = {r["doc_id"]: r for r in llm_queries()["op6_suffix_dedup"](spark, SF_DIR).collect()}
     own = texts(spark)
