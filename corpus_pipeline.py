@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tripmart.llm import decontaminate, line_dedup, mixing, quality_rules, simhash
-from tripmart.llm.common import read_table, shared, shared_folder, stored, text_key
+from tripmart.llm.common import read_table, shared, shared_folder, text_key
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -25,7 +25,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go: those whose score is below the threshold. Statistics are worked out once and written beside
     the documents, as they cost far more than another copy of the texts; fitting reads none of the texts."""
-    measured = stored(quality_rules.with_statistics(docs, *COLUMNS), f"measured-{uuid.uuid4().hex}")
+    found = quality_rules.with_statistics(docs, *COLUMNS)
+    path = f"{shared_folder(spark)}/measured-{uuid.uuid4().hex}"
+    found.write.option("compression", "zstd").parquet(path)
+    measured = spark.read.schema(found.schema).parquet(path)
     labels = read_table(spark, sf_dir, "labels")
     training = shared(quality_rules.training_rows(measured.select("doc_id", *quality_rules.NAMES), labels))
     model = quality_rules.fit_rules(training, "label_")
