@@ -406,6 +406,41 @@ def test_top_k_like_numpy(spark):
         wanted |= {(q, rank + 1, k, -s) for rank, (s, k) in enumerate(scores[:10])}
     got = topk.top_k(frame.withColumn("score", F.lit(1)), F.col("vec_id") % 100 == 0, block=3)
     assert {tuple(r) for r in got.collect()} == wanted
+    for name in ("set", "slot", "query", "block", "n", "ids"):
+        frame = frame.withColumn(name, F.lit("mine"))
+    for block, query_set in ((64, 1), (65, 2), (8192, 64)):
+        got = topk.top_k(frame, F.col("vec_id") % 100 == 0, block=block, query_set=query_set)
+        assert {tuple(r) for r in got.collect()} == wanted
+
+
+def test_a_written_index_answers_other_queries(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    rows = [(k, rng.integers(-3, 4, 9).astype(float).tolist()) for k in range(300)]
+    schema = "vec_id bigint, embedding array<double>"
+    topk.build_index(spark.createDataFrame(rows, schema), scale=1, block=50).write.parquet(f"{tmp_path}/index")
+    index = spark.read.parquet(f"{tmp_path}/index")
+    asked = [(-1, [1.0] * 9), (-2, [-2.0] * 12), (-3, [0.0] * 4), (5, rows[5][1]), (None, [1.0]), (-4, None)]
+    got = topk.search(index, spark.createDataFrame(asked, schema), scale=1, k=7).collect()
+    wanted = set()
+    for q, vector in asked[:4]:
+        scores = sorted((-sum(int(a * b) for a, b in zip(vector, v, strict=False)), k) for k, v in rows if k != q)
+        wanted |= {(q, rank + 1, k, -s) for rank, (s, k) in enumerate(scores[:7])}
+    assert {tuple(r) for r in got} == wanted and len(got) == 28
+
+
+def test_bit_maps_add_up_to_scores_of_any_size():
+    rng = np.random.default_rng(4)
+    for bits, width, n in ((40, 1, 3), (40, 5, 70), (12, 200, 130), (1, 3, 64)):
+        values = rng.integers(-(1 << (bits - 1)), 1 << (bits - 1), (n, width))
+        query = rng.integers(-(1 << min(bits, 20)), 1 << min(bits, 20), width)
+        lows = values.min(axis=0)
+        block = topk.Block({"n": n, "ids": np.arange(n).tobytes(), "lows": lows.tobytes(),
+                            "slices": topk.slices(values - lows).tobytes()})
+        exact = values @ query
+        for k in (1, 2, n, n + 5):
+            ids, score = block.best(-1, query, k)
+            order = np.lexsort((np.arange(n), -exact))[:k]
+            assert dict(zip(ids.tolist(), score.tolist(), strict=True)) == {int(r): int(exact[r]) for r in order}
 
 
 def test_top_k_of_few_and_no_rows(spark):
