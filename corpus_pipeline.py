@@ -1,8 +1,13 @@
 """A corpus from raw documents in five stages, each written as Parquet and read again by the next.
 
 Every stage works on what its predecessor kept, and keeps the columns of `documents` but for the last, which adds what
-the mix takes of each document. Documents whose text changes get a new n_chars. `run` gives that plan of the mix, one row
-per document; `corpus` carries it out and is what the query `pipeline` returns.
+the mix takes of each document and carries it out: a document is there as often as the mix takes it. Documents whose text
+changes get a new n_chars.
+
+Defined results of every stage: null and empty texts are documents without words, lines or windows, so only the quality
+score, equal fingerprints or the mix can take them out. Null ids are ids of their own kind, repeated rows are judged alike, and
+texts of any length are judged whole. Ties go to the smaller id, then the smaller text key. Columns beside those of
+`documents`, whatever their names, are left out; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -56,16 +61,16 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return keyed.join(hit, "key_", "left_anti").select(*COLUMNS)
 
 
-def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with the copies the mix takes of it; those of no copies stay, with 0."""
+def plan(docs: DataFrame) -> DataFrame:
+    """Every document with the copies the mix takes of it, 0 included."""
     def same(doc_id: str, key: Column) -> Column:
         """One value that rows of equal id, text and source share, and no others."""
         parts = [F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit("")) for name in (doc_id, "source")]
         return F.sha2(F.concat_ws("\n", parts[0], F.hex(key), parts[1]), 256)
 
-    plan = mixing.mix(docs)
+    found = mixing.mix(docs)
     # Rows that nothing tells apart may get different copies: they are dealt out by number.
-    planned = plan.groupBy(same("row", F.col("key")).alias("same_")).agg(
+    planned = found.groupBy(same("row", F.col("key")).alias("same_")).agg(
         F.sort_array(F.collect_list("copies")).alias("dealt"),
         *[F.first(name).alias(name) for name in ("size", "source_size", "target")],
     )
@@ -75,6 +80,17 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return joined.select(*COLUMNS, "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def mixed(planned: DataFrame) -> DataFrame:
+    """The rows of the corpus: each document as often as the mix takes it (copy: 1 to copies), those of no copies not."""
+    copy = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
+    return planned.where(F.col("copies") > 0).select(*COLUMNS, "size", "source_size", "target", "copies", copy)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixed corpus: documents of no copies go, others are repeated, and the words of each source are near its target."""
+    return mixed(plan(docs))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality", quality), ("lines", lines), ("near_copies", near_copies), ("benchmark_free", benchmark_free),
     ("mixture", mixture),
@@ -91,14 +107,3 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
     return docs
-
-
-def mixed(planned: DataFrame) -> DataFrame:
-    """The rows of the corpus: each document as often as the mix takes it (copy: 1 to copies), those of no copies not."""
-    copy = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
-    return planned.where(F.col("copies") > 0).select(*COLUMNS, "size", "source_size", "target", "copies", copy)
-
-
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mixed corpus: the words of each source add up to its target."""
-    return mixed(run(spark, sf_dir))
