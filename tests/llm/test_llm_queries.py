@@ -120,9 +120,15 @@ def test_pipeline_like_plain_python(spark):
     assert {doc: r["text"] for doc, r in stages["near_copies"].items()} == one
     bench = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
     clean = {doc for doc, _, n_hit, _ in plain.contaminated(list(one.items()), bench) if not n_hit}
-    assert set(stages["benchmark_free"]) == clean == set(stages["mixture"])
-    again = {r["doc_id"]: r for r in corpus_pipeline.run(spark, SMALL).collect()}
-    assert again == stages["mixture"]
+    assert set(stages["benchmark_free"]) == clean
+    left = spark.createDataFrame(list(stages["benchmark_free"].values()), docs.schema)
+    planned = {r["doc_id"]: r for r in corpus_pipeline.plan(left).collect()}
+    assert set(planned) == clean
+    taken = Counter({doc: r["copies"] for doc, r in planned.items() if r["copies"]})
+    again = corpus_pipeline.run(spark, SMALL).collect()
+    assert Counter(r["doc_id"] for r in again) == taken and set(stages["mixture"]) == set(taken)
+    assert all(r["text"] == one[r["doc_id"]] and r["target"] == planned[r["doc_id"]]["target"] for r in again)
+    assert {(r["doc_id"], r["copy"]) for r in again} == {(doc, k + 1) for doc, n in taken.items() for k in range(n)}
 
 
 def test_mixture_like_plain_python(spark):
