@@ -154,6 +154,26 @@ def log_scores(texts, order=2, backoff=0.4, min_count=1):
     return [(len(t), sum(score(tuple(t[max(0, k - order + 1):k + 1])) for k in range(len(t)))) for t in tokens]
 
 
+def log_scores_by_others(texts, order=2, backoff=0.4):
+    """The same for each text by the counts of all others; a word of no other text scores backoff / all words."""
+    tokens = [words(t) for t in texts]
+    grams = [Counter(tuple(t[k:k + n]) for n in range(1, order + 1) for k in range(len(t) - n + 1)) for t in tokens]
+    total = sum(grams, Counter())
+    out = []
+    for t, own in zip(tokens, grams, strict=True):
+        others = max(1, sum(map(len, tokens)) - len(t))
+
+        def score(gram, own=own, others=others):
+            if not gram:
+                return -log(others)
+            if seen := total[gram] - own[gram]:
+                return log(seen / (total[gram[:-1]] - own[gram[:-1]] if len(gram) > 1 else others))
+            return log(backoff) + score(gram[1:])
+
+        out.append((len(t), sum(score(tuple(t[max(0, k - order + 1):k + 1])) for k in range(len(t)))))
+    return out
+
+
 def collocations(docs, min_count=10, top=2000, percent=50):
     """docs: (lang, text). Rows (lang, rank, phrase, a, l, r, n, score)."""
     count, sizes = Counter(), Counter()

@@ -1,6 +1,7 @@
 """Each operator against plain Python on small tables with nulls, empty and long texts, ties, repeated rows, empty
 tables and columns of clashing names."""
 
+import math
 import random
 import sys
 from pathlib import Path
@@ -465,5 +466,24 @@ def test_scores_like_plain_python(spark, order):
         assert (row["mean_log_score"] is None) == (n == 0)
 
 
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_scores_by_other_texts_like_plain_python(spark, order):
+    picks = random.Random(5)
+    texts = [" ".join(picks.choice(["a", "B", "c,", "ö9", "d", "e", "f"]) for _ in range(picks.randint(0, 30))) for _ in range(50)]
+    texts += [None, "", "a a", "a a", "my own words", "my own my own words", "a new a", " ".join(str(k % 977) for k in range(5_000))]
+    docs = plain.documents(spark, texts).repartition(4)
+    rows = sorted(lm_score.language_model_scores(docs, order=order, by_others=True).collect(), key=lambda r: r["row"])
+    for row, (n, score) in zip(rows, plain.log_scores_by_others(texts, order), strict=True):
+        assert row["n_words"] == n
+        assert row["log_score"] == pytest.approx(score)
+        assert (row["mean_log_score"] is None) == (n == 0)
+
+
+def test_a_text_alone_has_no_others(spark):
+    docs = plain.documents(spark, [(None, "a b a"), (None, "")])
+    rows = lm_score.language_model_scores(docs, by_others=True).collect()
+    assert sorted((r["n_words"], r["log_score"]) for r in rows) == [(0, 0.0), (3, pytest.approx(5 * math.log(0.4)))]
+
+
 def test_no_documents_have_no_scores(spark):
     assert lm_score.language_model_scores(plain.documents(spark, ["a"]).limit(0)).collect() == []

@@ -4,14 +4,19 @@ S(w | context) is count(context w) / count(context) if that n-gram occurs at lea
 times the score with a context shorter by one word; single words score count / all words, whatever their count. A
 document's score is the sum of the logarithms over its words.
 
+With `by_others`, each document is scored by the model of all other documents: its own occurrences are taken off every
+count, and its own words off the number of all words. Without, the text scored is part of the text counted, so every
+n-gram of it has been seen and nothing ever backs off unless `min_count` is above 1. A word that no other document has
+backs off once more, to `backoff` / all words.
+
 The n-grams of a few megabytes of text (a batch) are hashed, sorted and counted together. They are sent, packed, to count
 tables by hash range; a table adds up each n-gram over all batches and sends every batch the totals of its n-grams,
 where they are joined to the n-grams of each document and summed. A frequent n-gram is one entry per batch, so no
 range grows with its frequency, and the number of ranges follows the number of words.
 
 Defined results: null and blank texts have no words; their score is 0 and their mean null. Repeated rows count as
-often as they occur. n-grams are told apart by 64-bit hashes. Very long texts are a batch of their own. An empty table gives
-no rows. Only the two columns named are read.
+often as they occur, and are other documents to one another. n-grams are told apart by 64-bit
+hashes. Very long texts are a batch of their own. An empty table gives no rows. Only the two columns named are read.
 """
 
 from __future__ import annotations
@@ -88,7 +93,7 @@ def count_task(order: int, slot_bits: int) -> Callable:
                 hashes, counts = np.unique(all_grams(grams(row, order)), return_counts=True)
                 slots = (hashes >> np.uint64(64 - slot_bits)).astype(np.int64)
                 edges = np.flatnonzero(np.diff(slots, prepend=-1))
-                ends = [*edges[1:], len(hashes)]
+                ends = [*edges[1:], len(hashes)][:len(edges)]  # no words, no ranges
                 steps = np.diff(hashes, prepend=np.uint64(0))
                 steps[edges] = hashes[edges]
                 yield pa.RecordBatch.from_arrays(
@@ -114,7 +119,17 @@ def total_counts(table: pa.Table) -> pa.Table:
                      "totals": pa.array(blobs, pa.binary())})
 
 
-def score_task(order: int, backoff: float, min_count: int, all_words: int) -> Callable:
+def own_counts(at: np.ndarray, there: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """For each n-gram (its number in `at`), how often it is in its own text; 0 where there is none."""
+    own = np.zeros(len(at))
+    if there.any():
+        pairs = text[there] * (int(at.max()) + 1) + at[there]
+        _, which, n = np.unique(pairs, return_inverse=True, return_counts=True)
+        own[there] = n[which]
+    return own
+
+
+def score_task(order: int, backoff: float, min_count: int, all_words: int, by_others: bool) -> Callable:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = right.sort_by("slot").to_pylist()
         totals = np.concatenate([np.zeros(0, np.uint64), *[unsqueezed(r["totals"], r["n"], np.uint64) for r in rows]])
@@ -122,18 +137,23 @@ def score_task(order: int, backoff: float, min_count: int, all_words: int) -> Ca
         for row in left.to_pylist():
             found = grams(row, order)
             distinct = np.unique(all_grams(found))
-            count = [np.where(there, totals[np.searchsorted(distinct, hashes).clip(0, max(0, len(totals) - 1))]
-                              if len(totals) else 0, 0).astype(np.float64) for hashes, there in found]
+            numbers = [np.searchsorted(distinct, hashes).clip(0, max(0, len(distinct) - 1)) for hashes, _ in found]
+            count = [np.where(there, totals[at] if len(totals) else 0, 0).astype(np.float64)
+                     for at, (_, there) in zip(numbers, found, strict=True)]
+            bounds = np.frombuffer(row["bounds"], np.int64)
+            sizes, counted = np.diff(bounds), max(1, all_words)
+            if by_others:
+                text = np.repeat(np.arange(len(sizes)), sizes)
+                count = [n - own_counts(at, there, text) for n, at, (_, there) in zip(count, numbers, found, strict=True)]
+                counted = np.maximum(1, all_words - sizes)[text]
             with np.errstate(divide="ignore", invalid="ignore"):
-                score = np.log(count[0] / all_words)
+                score = np.where(count[0] > 0, np.log(count[0] / counted), np.log(backoff / counted))
                 for length in range(2, order + 1):
                     context = np.concatenate(([1.0], count[length - 2][:-1]))[:row["n"]]
                     longer = np.log(count[length - 1] / context)
                     here = found[length - 1][1]
                     score = np.where(here, np.where(count[length - 1] >= min_count, longer, np.log(backoff) + score), score)
-            bounds = np.frombuffer(row["bounds"], np.int64)
             sums = np.add.reduceat(np.append(score, 0.0), bounds[:-1]) if len(bounds) > 1 else np.zeros(0)
-            sizes = np.diff(bounds)
             out.append(pa.table({"row": pa.array(row["ids"], left.schema.field("ids").type.value_type),
                                  "n_words": pa.array(sizes), "log_score": pa.array(np.where(sizes > 0, sums, 0.0))}))
         return pa.concat_tables(out)
@@ -143,9 +163,10 @@ def score_task(order: int, backoff: float, min_count: int, all_words: int) -> Ca
 
 def language_model_scores(
     docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", order: int = ORDER,
-    backoff: float = BACKOFF, min_count: int = MIN_COUNT,
+    backoff: float = BACKOFF, min_count: int = MIN_COUNT, by_others: bool = False,
 ) -> DataFrame:
-    """One row per document: row (its id), n_words, log_score, mean_log_score, by n-gram counts over all documents."""
+    """One row per document: row (its id), n_words, log_score, mean_log_score, by n-gram counts over all documents or,
+    with `by_others`, over all but the one scored."""
     id_type = docs.schema[id_column].dataType.simpleString()
     texts = docs.select(F.col(id_column).alias("row"), F.col(text_column).alias("text"))
     batches = shared(texts.mapInArrow(
@@ -156,5 +177,5 @@ def language_model_scores(
     sent = batches.mapInArrow(count_task(order, slot_bits), "slot bigint, batch bigint, n bigint, grams binary, counts binary")
     totals = sent.groupBy("slot").applyInArrow(total_counts, "slot bigint, batch bigint, n bigint, totals binary")
     scored = batches.groupBy("batch").cogroup(totals.groupBy("batch")).applyInArrow(
-        score_task(order, backoff, min_count, all_words), f"row {id_type}, n_words bigint, log_score double")
+        score_task(order, backoff, min_count, all_words, by_others), f"row {id_type}, n_words bigint, log_score double")
     return scored.withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))

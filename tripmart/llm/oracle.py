@@ -108,19 +108,26 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM (
 """
 
 LANGUAGE_MODEL = f"""
-WITH docs AS (
-    SELECT doc_id, coalesce(regexp_extract_all({LOWER.format("text")}, {WORDS}), []) AS ws FROM documents
-), words AS (
-    SELECT doc_id, i, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS v
-    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM docs)
-), ones AS (SELECT w, count(*)::DOUBLE AS n FROM words GROUP BY w
-), twos AS (SELECT v, w, count(*)::DOUBLE AS n FROM words WHERE v IS NOT NULL GROUP BY v, w
+WITH docs AS MATERIALIZED (
+    SELECT row_number() OVER () AS doc, doc_id, coalesce(regexp_extract_all({LOWER.format("text")}, {WORDS}), []) AS ws
+    FROM documents
+), words AS MATERIALIZED (
+    SELECT doc, ws[i] AS w, CASE WHEN i > 1 THEN ws[i - 1] END AS v
+    FROM (SELECT doc, ws, unnest(range(1, len(ws) + 1)) AS i FROM docs)
+), own_ones AS (SELECT doc, w, count(*) AS n FROM words GROUP BY ALL
+), own_twos AS (SELECT doc, v, w, count(*) AS n FROM words WHERE v IS NOT NULL GROUP BY ALL
+), ones AS (SELECT doc, w, sum(n) OVER (PARTITION BY w) - n AS n FROM own_ones
+), twos AS (SELECT doc, v, w, sum(n) OVER (PARTITION BY v, w) - n AS n FROM own_twos
+), others AS (SELECT doc, greatest(sum(len(ws)) OVER () - len(ws), 1) AS n FROM docs
 ), scored AS (
-    SELECT doc_id, CASE WHEN words.v IS NULL THEN ln(one.n / total) ELSE ln(twos.n / before.n) END AS s
-    FROM words JOIN ones one USING (w) LEFT JOIN ones before ON before.w = words.v
-    LEFT JOIN twos ON twos.v = words.v AND twos.w = words.w, (SELECT sum(n) AS total FROM ones)
-), sums AS (SELECT doc_id, avg(s) AS s FROM scored GROUP BY doc_id)
-SELECT doc_id, len(ws)::BIGINT AS n_words, round(s, 6) AS mean_log_score FROM docs LEFT JOIN sums USING (doc_id)
+    SELECT doc, CASE WHEN two.n >= 1 THEN ln(two.n / before.n)
+                     ELSE CASE WHEN words.v IS NULL THEN 0 ELSE ln(0.4) END
+                          + CASE WHEN one.n >= 1 THEN ln(one.n / others.n) ELSE ln(0.4) - ln(others.n) END END AS s
+    FROM words JOIN ones one USING (doc, w) JOIN others USING (doc)
+    LEFT JOIN ones before ON before.doc = words.doc AND before.w = words.v
+    LEFT JOIN twos two ON two.doc = words.doc AND two.v = words.v AND two.w = words.w
+), sums AS (SELECT doc, avg(s) AS s FROM scored GROUP BY doc)
+SELECT doc_id, len(ws)::BIGINT AS n_words, round(s, 6) AS mean_log_score FROM docs LEFT JOIN sums USING (doc)
 """
 
 
