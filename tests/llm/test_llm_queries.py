@@ -16,6 +16,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import plain  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
+from tripmart.llm import lm_score  # noqa: E402
 from tripmart.llm.oracle import llm_oracles  # noqa: E402
 from tripmart.llm.queries import llm_queries, quality_model  # noqa: E402
 
@@ -78,6 +79,24 @@ def test_quality_like_plain_python(spark):
         assert row["predicted"] == int(row["score"] >= 0.3)
 
 
+def test_language_model_backs_off(spark, duck, tmp_path, monkeypatch):
+    """Scores of whole tables, with nulls and copies, come from the other rows, so that back-off decides some of them."""
+    own = [*list(texts(spark, SMALL).values())[:60], None, "", "own words of one row", "in two rows alike", "in two rows alike"]
+    own = [(None if k % 9 == 0 else k % 50, text) for k, text in enumerate(own)]
+    plain.documents(spark, own).write.parquet(f"{tmp_path}/documents.parquet")
+    found = llm_queries()["op10_lm_score"](spark, str(tmp_path)).toPandas()
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert rows(found) == rows(connection.execute(llm_oracles()["op10_lm_score"]).df())
+    wanted = plain.log_scores_by_others([text for _, text in own])
+    by_scores = lambda some: sorted(some, key=repr)
+    got = by_scores((int(n), None if not n else round(s, 4)) for n, s in zip(found.n_words, found.mean_log_score, strict=True))
+    assert got == by_scores((n, None if not n else round(s / n, 4)) for n, s in wanted)
+    monkeypatch.setattr(lm_score.language_model_scores, "__kwdefaults__", lm_score.language_model_scores.__kwdefaults__ | {"backoff": 0.2})
+    other = llm_queries()["op10_lm_score"](spark, str(tmp_path)).toPandas()
+    assert rows(other) != rows(found)
+
+
 def test_suffix_dedup_like_plain_python(spark):
     found = {r["doc_id"]: r for r in llm_queries()["op6_suffix_dedup"](spark, SF_DIR).collect()}
     own = texts(spark)
